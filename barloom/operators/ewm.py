@@ -79,13 +79,12 @@ def ewm_mean(panel: Panel, means: Mapping[str, tuple[str, float]]) -> Panel:
     start = {n: F.col(f"_k_{n}") if panel.split else F.lit(0.0) for n in means}
     state = [F.col(f"_{part}_{n}") for n in means for part in ("p", "l")]
     full_blocks = F.collect_list(F.when(F.col(ROW) % rows == 0, F.struct(F.col(block).alias("b"), *state)))
-    panel = panel.with_columns({"_ends": full_blocks.over(Window.partitionBy(*panel.group))})
+    whole = Window.partitionBy(*panel.group)
+    panel = panel.with_columns({"_ends": full_blocks.over(whole), "_first": F.min(ROW).over(whole)})
     earlier = F.filter(F.sort_array("_ends"), lambda e: e["b"] < F.col(block))
-    entering = {n: _fold(earlier, n, start[n]) for n in means}
-    first_row = F.col(ROW) == F.min(ROW).over(in_block)
-    panel = panel.with_columns({"_first": first_row})
-    packed = F.struct(*[entering[n].alias(n) for n in means])
-    panel = panel.with_columns({"_start": F.max(F.when(F.col("_first"), packed)).over(in_block)})
+    opens = (F.col(ROW) % rows == 1 % rows) | (F.col(ROW) == F.col("_first"))
+    packed = F.struct(*[_fold(earlier, n, start[n]).alias(n) for n in means])
+    panel = panel.with_columns({"_start": F.max(F.when(opens, packed)).over(in_block)})
 
     # 5. value of every row
     values = {}

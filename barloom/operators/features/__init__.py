@@ -6,12 +6,14 @@ optimizer. Exponential means of all families run in one pass.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from barloom.operators.ewm import ewm_mean
 from barloom.operators.features import index, inputs, levels, momentum, price, trend, volatility, volume
+from barloom.operators.frames import Frames
 from barloom.operators.joins import join_on_date
 from barloom.operators.panel import Panel
 
@@ -34,6 +36,26 @@ _MEANS = trend.MEANS | volatility.MEANS | momentum.MEANS
 _USES = trend.USES | volatility.USES | momentum.USES
 
 
+# Families whose frames need only inputs, then those whose frames need another feature.
+_STAGES = (
+    (
+        (price.OUTPUTS, price.price),
+        (trend.OUTPUTS, trend.trend),
+        (volatility.OUTPUTS, volatility.volatility),
+        (momentum.OUTPUTS, momentum.momentum),
+        (volume.OUTPUTS, volume.volume),
+        (volatility.BAND_OUTPUTS, volatility.bands),
+        (("beta_60d", "alpha_60d", "rs_vs_mkt_20d"), index.relative_to_index),
+        (levels.OUTPUTS, levels.levels),
+    ),
+    (
+        (("sma20_slope_5d",), trend.slope),
+        (("stoch_d",), momentum.smooth),
+        (("bb_squeeze",), volatility.squeeze),
+    ),
+)
+
+
 def panel_of_bars(
     bars: DataFrame, market: DataFrame | None = None, fill_market: bool = False, **panel_options
 ) -> Panel:
@@ -63,25 +85,18 @@ def features(panel: Panel, names: Iterable[str]) -> Panel:
     means = {m for n in names for m in _USES.get(n, ())}
     if means:
         panel = ewm_mean(panel, {m: _MEANS[m] for m in _MEANS if m in means})
-    if momentum.SIGNAL_OUTPUTS & set(names):
-        panel = momentum.macd(panel)
-    elif "macd" in names:
-        panel = panel.with_columns({"macd": panel.frame["_fast"] - panel.frame["_slow"]})
-
-    families = [
-        (price.OUTPUTS, price.price),
-        (trend.OUTPUTS, trend.trend),
-        (volatility.OUTPUTS, volatility.volatility),
-        (momentum.OUTPUTS, momentum.momentum),
-        (volume.OUTPUTS, volume.volume),
-        (volatility.BAND_OUTPUTS, volatility.bands),
-        (index.OUTPUTS, index.relative_to_index),
-        (levels.OUTPUTS, levels.levels),
-    ]
-    for outputs, add in families:
-        if set(outputs) & set(names):
-            panel = add(panel)
-    return Panel(panel.frame.select(*base, *names), panel.key, panel.order, panel.split)
+    if {"_fast", "_slow"} <= means:
+        panel = momentum.macd(panel, signal=bool(momentum.SIGNAL_OUTPUTS & set(names)))
+    if set(volume.RUNNING) & set(names):
+        panel = panel.running_sum({n: c for n, c in volume.RUNNING.items() if n in names})
+    for stage in _STAGES:
+        w = Frames(panel)
+        columns: dict[str, Column] = {}
+        for outputs, family in stage:
+            if set(outputs) & set(names):
+                columns |= family(w)
+        panel = w.apply(columns)
+    return replace(panel, frame=panel.frame.select(*base, *names))
 
 
 def feature_frame(bars: DataFrame, market: DataFrame | None, names: Iterable[str], fill_market: bool = False) -> DataFrame:

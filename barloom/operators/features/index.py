@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.nulls import flag, ratio, zero_to_null
+from barloom.operators.frames import Frames
 from barloom.operators.joins import one_per_key
 from barloom.operators.panel import Panel
 
@@ -29,28 +30,26 @@ def index_features(market: DataFrame, close: str = "DJIA_Close") -> DataFrame:
     """
     unique = one_per_key(market.select("Date", close), "Date").withColumn("_index", F.lit(close))
     panel = Panel.of(unique, key="_index", fill={"_level": close})
-    panel = panel.with_columns(
-        {f"mkt_return_{k}d": panel.change("_level", k) for k in INDEX_RETURN_ROWS}
-        | {f"mkt_sma{n}": panel.rolling(F.avg, close, n) for n in INDEX_AVERAGES}
+    w = Frames(panel)
+    panel = w.apply(
+        {f"mkt_return_{k}d": w.change("_level", k) for k in INDEX_RETURN_ROWS}
+        | {f"mkt_sma{n}": w.mean(close, n) for n in INDEX_AVERAGES}
     )
-    panel = panel.with_columns(
+    w = Frames(panel)
+    panel = w.apply(
         {
             "mkt_above_sma200": flag(F.col(close) > F.col("mkt_sma200")),
-            "mkt_vol_20d": panel.rolling(F.stddev_samp, "mkt_return_1d", INDEX_SPREAD_ROWS),
+            "mkt_vol_20d": w.rolling("stddev_samp", "mkt_return_1d", INDEX_SPREAD_ROWS),
         }
     )
     return panel.result().select("Date", *INDEX_OUTPUTS, *[f"mkt_sma{n}" for n in INDEX_AVERAGES])
 
 
-def relative_to_index(panel: Panel) -> Panel:
-    panel = panel.with_columns(
-        {
-            "_mkt_var": panel.rolling(F.var_samp, "mkt_return_1d", BETA_ROWS),
-            "_mkt_cov": panel.rolling_pair(F.covar_samp, "return_1d", "mkt_return_1d", BETA_ROWS),
-        }
-    )
-    panel = panel.with_columns({"beta_60d": ratio(F.col("_mkt_cov"), zero_to_null(F.col("_mkt_var")))})
-    columns = {"alpha_60d": F.col("return_1d") - F.col("beta_60d") * F.col("mkt_return_1d")}
-    if "mkt_return_20d" in panel.frame.columns:
-        columns["rs_vs_mkt_20d"] = F.col("return_20d") - F.col("mkt_return_20d")
-    return panel.with_columns(columns)
+def relative_to_index(w: Frames) -> dict[str, Column]:
+    variance = zero_to_null(w.rolling("var_samp", "mkt_return_1d", BETA_ROWS))
+    beta = ratio(w.cov("return_1d", "mkt_return_1d", BETA_ROWS), variance)
+    return {
+        "beta_60d": beta,
+        "alpha_60d": F.col("return_1d") - beta * F.col("mkt_return_1d"),
+        "rs_vs_mkt_20d": F.col("return_20d") - F.col("mkt_return_20d"),
+    }

@@ -1,15 +1,11 @@
-"""Row-level inputs shared by the feature families.
-
-They are computed first and together: one window node serves all lags, and every later rolling
-frame reads plain columns, which lets the optimizer merge the frames of different families.
-Columns nobody asks for are pruned.
-"""
+"""Row-level inputs shared by the feature families, computed once for all of them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from barloom.functions.nulls import negative_part, positive_part, ratio, zero_to_null
+from barloom.operators.frames import Frames
 from barloom.operators.panel import Panel
 
 # Horizons of the relative changes, in rows.
@@ -19,17 +15,17 @@ FILL = {"_close": "Close", "_volume": "Volume"}
 
 
 def with_inputs(panel: Panel) -> Panel:
-    panel = panel.with_columns(
-        {f"_prev_{c.lower()}": panel.lag(c) for c in ("High", "Low", "Close")}
-        | {f"return_{k}d": panel.change("_close", k) for k in RETURN_ROWS}
-        | {"vol_change_1d": panel.change("_volume", 1)}
+    w = Frames(panel)
+    panel = w.apply(
+        {f"_prev_{c.lower()}": w.lag(c) for c in ("High", "Low", "Close")}
+        | {f"return_{k}d": w.change("_close", k) for k in RETURN_ROWS}
+        | {"vol_change_1d": w.change("_volume", 1)}
     )
     high, low, close, volume = (F.col(c) for c in ("High", "Low", "Close", "Volume"))
     step = close - F.col("_prev_close")
     spread = high - low
-    panel = panel.with_columns(
+    return panel.with_columns(
         {
-            "_step": step,
             "_spread": spread,
             # greatest() skips NULLs: the first row of a series has only its own spread
             "_true_range": F.greatest(spread, F.abs(high - F.col("_prev_close")), F.abs(low - F.col("_prev_close"))),
@@ -41,4 +37,3 @@ def with_inputs(panel: Panel) -> Panel:
             "_return_volume": F.col("return_1d") * volume,
         }
     )
-    return panel

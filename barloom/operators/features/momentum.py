@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barloom.functions.nulls import flag, ratio, zero_to_null
 from barloom.operators.ewm import ewm_mean, span_alpha
+from barloom.operators.frames import Frames
 from barloom.operators.panel import Panel
 
 # Frame lengths in rows, smoothing factors, CCI scale.
@@ -34,41 +36,35 @@ USES = {"rsi_14": ("_mean_gain", "_mean_loss")} | {
 SIGNAL_OUTPUTS = {"macd_signal", "macd_hist", "macd_cross_up"}
 
 
-def macd(panel: Panel) -> Panel:
+def macd(panel: Panel, signal: bool = True) -> Panel:
     """The signal is a mean of a mean, so it needs a second pass."""
     panel = panel.with_columns({"macd": F.col("_fast") - F.col("_slow")})
-    return ewm_mean(panel, {"macd_signal": ("macd", span_alpha(MACD_SPANS[2]))})
+    return ewm_mean(panel, {"macd_signal": ("macd", span_alpha(MACD_SPANS[2]))}) if signal else panel
 
 
-def momentum(panel: Panel) -> Panel:
-    have = set(panel.frame.columns)
+def momentum(w: Frames) -> dict[str, Column]:
+    have = set(w.panel.frame.columns)
     close = F.col("Close")
-    panel = panel.with_columns(
-        {
-            "_low": panel.rolling(F.min, "Low", RANGE_ROWS),
-            "_high": panel.rolling(F.max, "High", RANGE_ROWS),
-            "_typical_mean": panel.rolling(F.avg, "_typical", CCI_ROWS),
-            "_typical_mad": panel.rolling_mad("_typical", CCI_ROWS),
-        }
-        | {f"_back_{n}": panel.lag("Close", n) for n in ROC_ROWS}
-    )
-    reach = zero_to_null(F.col("_high") - F.col("_low"))
+    low, high = w.rolling("min", "Low", RANGE_ROWS), w.rolling("max", "High", RANGE_ROWS)
+    reach = zero_to_null(high - low)
+    deviation = CCI_SCALE * zero_to_null(w.mad("_typical", CCI_ROWS))
     columns = {
-        "stoch_k": 100 * ratio(close - F.col("_low"), reach),
-        "williams_r": -100 * ratio(F.col("_high") - close, reach),
-        "cci_20": ratio(F.col("_typical") - F.col("_typical_mean"), CCI_SCALE * zero_to_null(F.col("_typical_mad"))),
-    }
-    columns |= {
-        f"roc_{n}": ratio(close - F.col(f"_back_{n}"), zero_to_null(F.col(f"_back_{n}"))) for n in ROC_ROWS
+        "stoch_k": 100 * ratio(close - low, reach),
+        "williams_r": -100 * ratio(high - close, reach),
+        "cci_20": ratio(F.col("_typical") - w.mean("_typical", CCI_ROWS), deviation),
     }
+    for n in ROC_ROWS:
+        base = w.lag("Close", n)
+        columns[f"roc_{n}"] = ratio(close - base, zero_to_null(base))
     if "_mean_gain" in have:
         strength = ratio(F.col("_mean_gain"), zero_to_null(F.col("_mean_loss")))
         columns["rsi_14"] = 100 - ratio(F.lit(100.0), 1 + strength)
-    panel = panel.with_columns(columns)
-
-    later = {"stoch_d": panel.rolling(F.avg, "stoch_k", SMOOTH_ROWS)}
     if "macd_signal" in have:
         above = F.col("macd") > F.col("macd_signal")
-        was_below = panel.lag("macd") <= panel.lag("macd_signal")
-        later |= {"macd_hist": F.col("macd") - F.col("macd_signal"), "macd_cross_up": flag(above & was_below)}
-    return panel.with_columns(later)
+        was_below = w.lag("macd") <= w.lag("macd_signal")
+        columns |= {"macd_hist": F.col("macd") - F.col("macd_signal"), "macd_cross_up": flag(above & was_below)}
+    return columns
+
+
+def smooth(w: Frames) -> dict[str, Column]:
+    return {"stoch_d": w.mean("stoch_k", SMOOTH_ROWS)}

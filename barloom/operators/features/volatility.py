@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barloom.functions.nulls import flag, ratio, zero_to_null
-from barloom.operators.panel import Panel
+from barloom.operators.frames import Frames
 
 # Frame lengths in rows, band width in deviations, squeeze quantile.
 SPREAD_ROWS = (5, 10, 20)
@@ -20,29 +21,24 @@ MEANS = {"atr_14": ("_true_range", RANGE_ALPHA)}
 USES = {"atr_14": ("atr_14",), "atr_pct": ("atr_14",)}
 
 
-def volatility(panel: Panel) -> Panel:
-    panel = panel.with_columns(
-        {f"volatility_{n}d": panel.rolling(F.stddev_samp, "return_1d", n) for n in SPREAD_ROWS}
-    )
-    extra = {"vol_ratio_5_20": ratio(F.col("volatility_5d"), zero_to_null(F.col("volatility_20d")))}
-    if "atr_14" in panel.frame.columns:
-        extra["atr_pct"] = ratio(F.col("atr_14"), F.col("Close"))
-    return panel.with_columns(extra)
-
-
-def bands(panel: Panel) -> Panel:
-    panel = panel.with_columns(
-        {
-            "_mid": panel.rolling(F.avg, "Close", BAND_ROWS),
-            "_reach": BAND_DEVIATIONS * panel.rolling(F.stddev_samp, "Close", BAND_ROWS),
-        }
-    )
-    upper, lower = F.col("_mid") + F.col("_reach"), F.col("_mid") - F.col("_reach")
-    panel = panel.with_columns(
-        {
-            "bb_width": ratio(upper - lower, F.col("_mid")),
-            "bb_pct": ratio(F.col("Close") - lower, zero_to_null(upper - lower)),
-        }
-    )
-    low_width = panel.rolling(lambda c: F.percentile(c, F.lit(SQUEEZE_QUANTILE)), "bb_width", BAND_ROWS)
-    return panel.with_columns({"bb_squeeze": flag(F.col("bb_width") < low_width)})
+def volatility(w: Frames) -> dict[str, Column]:
+    spread = {n: w.rolling("stddev_samp", "return_1d", n) for n in SPREAD_ROWS}
+    columns = {f"volatility_{n}d": v for n, v in spread.items()}
+    columns["vol_ratio_5_20"] = ratio(spread[5], zero_to_null(spread[20]))
+    if "atr_14" in w.panel.frame.columns:
+        columns["atr_pct"] = ratio(F.col("atr_14"), F.col("Close"))
+    return columns
+
+
+def bands(w: Frames) -> dict[str, Column]:
+    middle = w.mean("Close", BAND_ROWS)
+    reach = BAND_DEVIATIONS * w.rolling("stddev_samp", "Close", BAND_ROWS)
+    width = (middle + reach) - (middle - reach)
+    return {
+        "bb_width": ratio(width, middle),
+        "bb_pct": ratio(F.col("Close") - (middle - reach), zero_to_null(width)),
+    }
+
+
+def squeeze(w: Frames) -> dict[str, Column]:
+    return {"bb_squeeze": flag(F.col("bb_width") < w.quantile("bb_width", SQUEEZE_QUANTILE, BAND_ROWS))}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barloom.functions.nulls import ratio, zero_to_null
-from barloom.operators.panel import Panel
+from barloom.operators.frames import Frames
 
 # Fixed value: frame length in rows.
 VOLUME_ROWS = 20
@@ -14,17 +15,11 @@ OUTPUTS = ("vol_ratio", "vol_change_1d", "obv", "vpt", "adl", "cmf_20")
 RUNNING = {"obv": "_signed_volume", "vpt": "_return_volume", "adl": "_flow"}
 
 
-def volume(panel: Panel) -> Panel:
-    panel = panel.with_columns(
-        {
-            "_volume_mean": panel.rolling(F.avg, "Volume", VOLUME_ROWS),
-            "_flow_sum": panel.rolling(F.sum, "_flow", VOLUME_ROWS),
-            "_volume_sum": panel.rolling(F.sum, "Volume", VOLUME_ROWS),
-        }
-    ).running_sum(RUNNING)
-    return panel.with_columns(
-        {
-            "vol_ratio": ratio(F.col("Volume"), zero_to_null(F.col("_volume_mean"))),
-            "cmf_20": ratio(F.col("_flow_sum"), zero_to_null(F.col("_volume_sum"))),
-        }
-    )
+def volume(w: Frames) -> dict[str, Column]:
+    return {
+        "vol_ratio": ratio(F.col("Volume"), zero_to_null(w.mean("Volume", VOLUME_ROWS))),
+        "cmf_20": ratio(
+            w.rolling("sum", "_flow", VOLUME_ROWS),
+            zero_to_null(w.rolling("sum", "Volume", VOLUME_ROWS)),
+        ),
+    }

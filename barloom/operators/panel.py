@@ -39,6 +39,7 @@ class Panel:
     key: str
     order: tuple[str, ...]
     split: bool = False
+    halo: int = 0
 
     # ---- construction -------------------------------------------------------------
 
@@ -106,7 +107,7 @@ class Panel:
         copies = F.explode(F.sequence(F.col(SEGMENT), F.greatest(SEGMENT, "_reach"))).alias("_target")
         spread = placed.select("*", copies)
         spread = spread.withColumn(CORE, F.col(SEGMENT) == F.col("_target")).drop(SEGMENT, "_reach")
-        return cls(_with_block(spread.withColumnRenamed("_target", SEGMENT)), key, order, split=True)
+        return cls(_with_block(spread.withColumnRenamed("_target", SEGMENT)), key, order, split=True, halo=halo)
 
     # ---- windows ------------------------------------------------------------------
 
@@ -149,24 +150,23 @@ class Panel:
         """Relative change over k rows of a column already carried forward over nulls."""
         return ratio(F.col(padded), self.lag(padded, k)) - 1
 
+    def latest(self, condition: Column) -> Column:
+        """Position of the latest row so far on which the condition held."""
+        return F.max(F.when(condition, F.col(ROW))).over(self.so_far)
+
+    def check_reach(self, n: int) -> None:
+        if self.split and n > self.halo:
+            raise ValueError(f"a frame of {n} rows needs a halo of at least {n} rows")
+
     def rolling(self, fn: Callable[[Column], Column], c: str, n: int) -> Column:
-        """Aggregate of the last n rows, NULL unless all n values are present."""
-        frame = self.trailing(n)
-        return F.when(F.count(c).over(frame) == n, fn(F.col(c)).over(frame))
-
-    def rolling_pair(self, fn: Callable[[Column, Column], Column], a: str, b: str, n: int) -> Column:
-        """Two-column aggregate over n rows in which both values are present."""
-        frame = self.trailing(n)
-        both = F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1)
-        return F.when(F.count(both).over(frame) == n, fn(F.col(a), F.col(b)).over(frame))
-
-    def rolling_mad(self, c: str, n: int) -> Column:
-        """Mean absolute distance from the frame mean; the list holds n values at most."""
-        frame = self.trailing(n)
-        values = F.collect_list(c).over(frame)
-        mean = F.avg(c).over(frame)
-        total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + F.abs(x - mean))
-        return F.when(F.count(c).over(frame) == n, total / F.lit(n))
+        """Aggregate of the last n rows, NULL unless all n values are present.
+
+        The latest missing row decides completeness for every n at one update a row, where a
+        count over the frame would visit n rows.
+        """
+        self.check_reach(n)
+        complete = F.col(ROW) - F.coalesce(self.latest(F.col(c).isNull()), F.lit(0)) >= n
+        return F.when(complete, fn(F.col(c)).over(self.trailing(n)))
 
     # ---- frame changes ----------------------------------------------------------------
 

@@ -19,6 +19,8 @@ def build_session(app: str = "barloom", master: str | None = None, shuffle_parti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # wide feature plans hold more generated classes than the default cache of 100
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

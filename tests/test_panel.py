@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators.ewm import ewm_mean, span_alpha
+from barloom.operators.frames import Frames
 from barloom.operators.panel import Panel
 
 GAPS = [10.0, None, 12.0, 11.0, None, None, 15.0]
@@ -96,17 +97,18 @@ def test_running_state(spark):
 
 def test_rolling_frames(spark):
     for pdf, panel in panels(spark, SERIES, fill={"pad": "v"}):
-        panel = panel.with_columns(
+        w = Frames(panel)
+        panel = w.apply(
             {
-                "mean": panel.rolling(F.avg, "v", 20),
-                "std": panel.rolling(F.stddev_samp, "v", 5),
-                "low": panel.rolling(F.min, "v", 14),
-                "total": panel.rolling(F.sum, "pad", 50),
-                "q20": panel.rolling(lambda c: F.percentile(c, F.lit(0.2)), "pad", 20),
-                "mad": panel.rolling_mad("v", 20),
-                "chg": panel.change("pad", 5),
-                "diff": panel.diff("v", 3),
-                "cov": panel.rolling_pair(F.covar_samp, "v", "pad", 10),
+                "mean": w.mean("v", 20),
+                "std": w.rolling("stddev_samp", "v", 5),
+                "low": w.rolling("min", "v", 14),
+                "total": w.rolling("sum", "pad", 50),
+                "q20": w.quantile("pad", 0.2, 20),
+                "mad": w.mad("v", 20),
+                "chg": w.change("pad", 5),
+                "diff": F.col("v") - w.lag("v", 3),
+                "cov": w.cov("v", "pad", 10),
             }
         )
         got = collected(panel)
