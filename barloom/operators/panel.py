@@ -8,7 +8,7 @@ become one endless task, so a panel is one of two kinds:
   window over the key is one sort inside one hash exchange.
 * **Split panel** - any other order (timestamps, several columns). Rows are counted per
   (key, time bucket); the running count cuts each long series into segments of about
-  `rows_per_segment` rows. Rolling frames reach back through a halo of rows copied from the
+  equal size. Rolling frames reach back through a halo of rows copied from the
   segment before, and running state (last value, running sum, exponential mean) enters each
   segment through a small per-segment carry table. One key may hold any share of the table.
 
@@ -51,14 +51,15 @@ class Panel:
         order: str | Sequence[str] = "Date",
         fill: Mapping[str, str] | None = None,
         halo: int = 256,
-        rows_per_segment: int = 1_000_000,
-        bucket_seconds: int = 86_400,
+        rows_per_segment: int | None = None,
+        bucket_seconds: int = 3_600,
     ) -> "Panel":
         """Build a panel; `fill` maps new column -> column to carry forward over nulls.
 
-        `halo` is the longest reach of any chain of rolling frames that follows. A split
-        series is cut at bucket borders, so `bucket_seconds` should hold far fewer rows of one
-        key than `rows_per_segment`.
+        `halo` is the longest reach of any chain of rolling frames that follows. A series is cut
+        at bucket borders, so `bucket_seconds` should hold far fewer rows of one key than a
+        segment. By default a series of n rows gets segments of 8 * sqrt(n) rows, but at least
+        four halos: segments and carry table then grow together, both far slower than the data.
         """
         order = (order,) if isinstance(order, str) else tuple(order)
         fill = dict(fill or {})
@@ -84,9 +85,15 @@ class Panel:
         # Small table: one row per (key, bucket) that exists, counted before the shuffle.
         by_time = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
         counts = bucketed.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        size = F.greatest(F.lit(4 * halo), F.ceil(8 * F.sqrt("_total")))
+        if rows_per_segment:
+            size = F.lit(rows_per_segment)
         cuts = (
-            counts.withColumn("_end", F.sum("_n").over(by_time))
-            .withColumn(SEGMENT, F.floor((F.col("_end") - F.col("_n")) / F.lit(rows_per_segment)))
+            counts.withColumns(
+                {"_end": F.sum("_n").over(by_time), "_total": F.sum("_n").over(Window.partitionBy(key))}
+            )
+            .withColumn("_size", size.cast("long"))
+            .withColumn(SEGMENT, F.floor((F.col("_end") - F.col("_n")) / F.col("_size")))
             .withColumn("_last", F.max(SEGMENT).over(Window.partitionBy(key)))
             .select(
                 key,
@@ -94,7 +101,7 @@ class Panel:
                 (F.col("_end") - F.col("_n")).alias("_before"),
                 SEGMENT,
                 # later segments whose first rows can reach back into this bucket
-                F.least("_last", F.floor((F.col("_end") + F.lit(halo)) / F.lit(rows_per_segment))).alias("_reach"),
+                F.least("_last", F.floor((F.col("_end") + F.lit(halo)) / F.col("_size"))).alias("_reach"),
             )
         )
         placed = bucketed.join(cuts, [key, "_bucket"])
