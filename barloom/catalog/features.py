@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.catalog.panel import KEYS, W, frame, roll
+from barloom.catalog.tables import stored
 from barloom.catalog.registry import over, query, rnd, rounded, view
 from barloom.operators.ewm import span_alpha
 from barloom.operators.features import (
@@ -19,8 +20,8 @@ COARSE = {"obv": 2, "vpt": 2, "adl": 2}
 
 
 def _bars(spark, sf):
-    bars = tables.bars(spark, sf)
-    return bars, tables.market(spark, sf, bars)
+    bars = stored(spark, sf, "bars")
+    return bars, stored(spark, sf, "market")
 
 
 def family(spark, sf, names, fill_market=False):
@@ -271,13 +272,13 @@ def research_features(spark, sf):
 @query("F-64 W-02 X-15", over("steps", body=f"""
 SELECT Date, Ticker, CAST(COALESCE(LEAD(Close, 5) OVER {W} / Close - 1 > 0.03, FALSE) AS INTEGER) AS target FROM steps"""))
 def forward_label(spark, sf):
-    return with_target(Panel.of(tables.bars(spark, sf))).result().select(*KEYS, "target")
+    return with_target(Panel.of(stored(spark, sf, "bars"))).result().select(*KEYS, "target")
 
 
 @query("F-64 P-13 M-01 M-04", over("steps", body=f"""
 SELECT part, target, COUNT(*) AS "rows", ROUND(ANY_VALUE(total) / (2.0 * COUNT(*)), 6) + 0.0 AS class_weight
 FROM (SELECT part, target, COUNT(*) OVER (PARTITION BY part) AS total FROM
-  (SELECT CASE WHEN Date < DATE '1997-01-01' THEN 'train' ELSE 'test' END AS part,
+  (SELECT CASE WHEN Date < DATE '2000-06-01' THEN 'train' ELSE 'test' END AS part,
           CAST(COALESCE(LEAD(Close, 10) OVER {W} / Close - 1 > 0.05, FALSE) AS INTEGER) AS target FROM steps))
 GROUP BY part, target"""))
 def label_balance_by_period(spark, sf):
@@ -286,8 +287,8 @@ def label_balance_by_period(spark, sf):
 
     from barloom.learning.model import WEIGHT, with_class_weight
 
-    rows = with_target(Panel.of(tables.bars(spark, sf)), horizon=10, threshold=0.05).result()
-    parts = split_by_day(rows.select("Date", "target"), dt.date(1997, 1, 1))
+    rows = with_target(Panel.of(stored(spark, sf, "bars")), horizon=10, threshold=0.05).result()
+    parts = split_by_day(rows.select("Date", "target"), dt.date(2000, 6, 1))
     out = [with_class_weight(p).select(F.lit(n).alias("part"), "target", WEIGHT) for n, p in zip(("train", "test"), parts)]
     return rounded(
         out[0].unionByName(out[1]).groupBy("part", "target")
@@ -299,7 +300,7 @@ def label_balance_by_period(spark, sf):
 SELECT Date, Ticker, target FROM (SELECT Date, Ticker, LEAD(1, 5) OVER {W} AS later,
   CAST(COALESCE(LEAD(Close, 5) OVER {W} / Close - 1 > 0.03, FALSE) AS INTEGER) AS target FROM steps) WHERE later IS NOT NULL"""))
 def forward_label_without_tail(spark, sf):
-    panel = with_target(Panel.of(tables.bars(spark, sf)), tail="drop")
+    panel = with_target(Panel.of(stored(spark, sf, "bars")), tail="drop")
     return panel.result().select(*KEYS, "target").na.drop()
 
 

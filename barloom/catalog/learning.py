@@ -18,12 +18,12 @@ from barloom.operators.features import SERVING_FEATURES, feature_frame, features
 from barloom.session import shared_dir
 from barloom.sources import tables
 
-SPLIT = dt.date(1997, 1, 1)
+SPLIT = dt.date(2000, 6, 1)
 
 
 def training_frame(spark: SparkSession, sf: str) -> DataFrame:
-    bars = tables.bars(spark, sf)
-    panel = features(panel_of_bars(bars, tables.market(spark, sf, bars), fill_market=True), SERVING_FEATURES)
+    bars = stored(spark, sf, "bars")
+    panel = features(panel_of_bars(bars, stored(spark, sf, "market"), fill_market=True), SERVING_FEATURES)
     rows = label.with_target(panel).result()
     return label.training_rows(rows.select("Date", "Ticker", *label.RAW_COLUMNS, *SERVING_FEATURES, "target"))
 
@@ -64,8 +64,8 @@ def score_latest_rows(spark, sf):
     fitted = model.fit(stored_training_frame(spark, sf), SERVING_FEATURES)
     path = shared_dir(spark, "model")
     model.save(fitted, path)
-    bars = tables.bars(spark, sf)
-    rows = feature_frame(bars, tables.market(spark, sf, bars), SERVING_FEATURES, fill_market=True)
+    bars = stored(spark, sf, "bars")
+    rows = feature_frame(bars, stored(spark, sf, "market"), SERVING_FEATURES, fill_market=True)
     return model.score_latest(model.load(path), rows, SERVING_FEATURES)
 
 
@@ -106,7 +106,7 @@ def feature_count_experiment(spark, sf):
 def _judged(spark, sf):
     """Stored predictions judged against a deterministic truth."""
     key = F.regexp_extract("Ticker", "([0-9]+)", 1).cast("bigint")
-    return tables.screening(spark, sf).withColumn("target", F.when(key % 3 == 0, 1).otherwise(0))
+    return stored(spark, sf, "screening").withColumn("target", F.when(key % 3 == 0, 1).otherwise(0))
 
 
 _JUDGED = """judged AS (SELECT *, CASE WHEN CAST(regexp_extract(Ticker, '([0-9]+)', 1) AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END AS target FROM screening),

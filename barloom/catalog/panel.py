@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barloom.catalog.tables import stored
 from barloom.catalog.registry import over, query, rnd, rounded, view
 from barloom.functions.nulls import flag
 from barloom.operators.ewm import ewm_mean, span_alpha
@@ -15,17 +16,17 @@ from barloom.sources import tables
 KEYS = ["Date", "Ticker"]
 W = "(PARTITION BY Ticker ORDER BY Date)"
 
-# The close is missing on the 7th and 8th of a month and for a series' first dates in 1992.
+# The close is missing on the 7th and 8th of a month and for a series' first dates in 1995.
 view("holes", ("bars",), """
-SELECT *, CASE WHEN DAYOFMONTH(Date) IN (7, 8) OR Date < DATE '1992-03-01' THEN NULL ELSE Close END AS v FROM bars""")
+SELECT *, CASE WHEN DAYOFMONTH(Date) IN (7, 8) OR Date < DATE '1995-03-01' THEN NULL ELSE Close END AS v FROM bars""")
 view("padded", ("holes",), f"""
 SELECT *, LAST_VALUE(v IGNORE NULLS) OVER (PARTITION BY Ticker ORDER BY Date
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pad FROM holes""")
 
 
 def holes(spark, sf):
-    missing = F.dayofmonth("Date").isin(7, 8) | (F.col("Date") < F.lit("1992-03-01").cast("date"))
-    return tables.bars(spark, sf).withColumn("v", F.when(~missing, F.col("Close")))
+    missing = F.dayofmonth("Date").isin(7, 8) | (F.col("Date") < F.lit("1995-03-01").cast("date"))
+    return stored(spark, sf, "bars").withColumn("v", F.when(~missing, F.col("Close")))
 
 
 def panel_of(spark, sf, fill=False) -> Panel:
@@ -63,7 +64,7 @@ def forward_fill_and_change(spark, sf):
 
 @query("W-05 W-06 W-07 W-09 W-10", over("holes", body=f"""
 SELECT Date, Ticker, {rnd(roll('AVG(v)', 'v', 5), 'mean_5')}, {rnd(roll('AVG(v)', 'v', 10), 'mean_10')},
-  {rnd(roll('STDDEV_SAMP(v)', 'v', 5), 'std_5')}, {rnd(roll('VAR_SAMP(v)', 'v', 10), 'var_10', 1)},
+  {rnd(roll('STDDEV_SAMP(v)', 'v', 5), 'std_5')}, {rnd(roll('VAR_SAMP(v)', 'v', 10), 'var_10', 0)},
   {rnd(roll('MIN(v)', 'v', 10), 'min_10')}, {rnd(roll('MAX(v)', 'v', 10), 'max_10')},
   {rnd(roll('SUM(v)', 'v', 10), 'sum_10')} FROM holes"""))
 def rolling_statistics(spark, sf):
@@ -74,7 +75,7 @@ def rolling_statistics(spark, sf):
         "max_10": w.rolling("max", "v", 10), "sum_10": w.rolling("sum", "v", 10),
     })
     names = ["mean_5", "mean_10", "std_5", "var_10", "min_10", "max_10", "sum_10"]
-    return rounded(p.result().select(*KEYS, *names), var_10=1)
+    return rounded(p.result().select(*KEYS, *names), var_10=0)
 
 
 @query("W-08 V-02", over("holes", body=f"""

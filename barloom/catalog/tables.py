@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 from barloom.catalog.registry import over, query, view
+from barloom.plans.fundamentals import scored as score
+from barloom.session import shared_dir
 from barloom.sources import tables
 
+_MAKERS = {
+    "bars": (tables.bars, "Ticker", None),
+    "market": (lambda spark, sf: tables.market(spark, sf, stored(spark, sf, "bars")), "Date", None),
+    "scored": (lambda spark, sf: score(tables.stock_dashboard(spark, sf)), "Extraction_Date", "Extraction_Date"),
+    "screening": (tables.screening, "Date", "Date"),
+}
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A derived table as the daily run leaves it: written once per session to the shared folder,
+    then only read. Operators are run on stored tables, as a user of the library would."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        make, cluster, partition = _MAKERS[name]
+        path = shared_dir(spark, name)
+        writer = make(spark, sf).repartition(cluster).write
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
 view("bars", (), """
 SELECT d AS Date, CONCAT('S', CAST(l_suppkey AS VARCHAR(10))) AS Ticker,
        MAX(CASE WHEN rn = 1 THEN FLOOR(p * 100 + 0.5) / 100 END) AS Open,

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 def percent(x: Column, digits: int = 1) -> Column:
     """0.254 -> 25.4%"""
-    return F.format_string(f"%.{digits}f%%", x * 100)
+    return fixed(x * 100, digits, "%")
 
 
 def fixed(x: Column, digits: int = 2, suffix: str = "") -> Column:
-    return F.format_string(f"%.{digits}f{suffix.replace('%', '%%')}", x)
+    shown = F.format_string(f"%.{digits}f{suffix.replace('%', '%%')}", x)
+    return F.when(x.isNotNull(), shown)
 
 
 def grouped(x: Column) -> Column:
