@@ -82,32 +82,37 @@ def ewm_mean(panel: Panel, means: Mapping[str, tuple[str, float]]) -> Panel:
     whole = Window.partitionBy(*panel.group)
     panel = panel.with_columns({"_ends": full_blocks.over(whole), "_first": F.min(ROW).over(whole)})
     earlier = F.filter(F.sort_array("_ends"), lambda e: e["b"] < F.col(block))
-    opens = (F.col(ROW) % rows == 1 % rows) | (F.col(ROW) == F.col("_first"))
-    packed = F.struct(*[_fold(earlier, n, start[n]).alias(n) for n in means])
-    panel = panel.with_columns({"_start": F.max(F.when(opens, packed)).over(in_block)})
+    entering = {n: _fold(earlier, n, start[n]) for n in means}
+    if panel.split:
+        # many blocks per segment: fold once per block, on its first row
+        opens = (F.col(ROW) % rows == 1 % rows) | (F.col(ROW) == F.col("_first"))
+        packed = F.struct(*[e.alias(n) for n, e in entering.items()])
+        panel = panel.with_columns({"_start": F.max(F.when(opens, packed)).over(in_block)})
+        entering = {n: F.col("_start")[n] for n in means}
+    else:
+        # a daily series has a few dozen blocks at most, usually one: a fold per row costs less
+        # than another window
+        entering = {n: F.when(F.size("_ends") == 0, 0.0).otherwise(e) for n, e in entering.items()}
 
     # 5. value of every row
     values = {}
     for name, (c, _) in means.items():
         known = F.col(f"_gap_{c}").isNotNull() | valid[c].isNotNull()
-        values[name] = F.when(known, F.col(f"_l_{name}") + F.col(f"_start")[name] * F.col(f"_p_{name}"))
+        values[name] = F.when(known, F.col(f"_l_{name}") + entering[name] * F.col(f"_p_{name}"))
     return replace(panel, frame=panel.frame.withColumns(values).select(*keep, *means))
 
 
 def _step(x: Column, gap: Column, alpha: float) -> tuple[Column, Column]:
     weight = F.pow(F.lit(1.0 - alpha), gap)
-    factor = (
+    return (
         F.when(x.isNull() | gap.isNull(), 1.0)
         .when(gap == 1, max(1.0 - alpha, MIN_FACTOR))
-        .otherwise(F.greatest(weight / (weight + F.lit(alpha)), F.lit(MIN_FACTOR)))
-    )
-    offset = (
+        .otherwise(F.greatest(weight / (weight + alpha), F.lit(MIN_FACTOR))),
         F.when(x.isNull(), 0.0)
         .when(gap.isNull(), x)
-        .when(gap == 1, x * F.lit(alpha))
-        .otherwise(x * F.lit(alpha) / (weight + F.lit(alpha)))
+        .when(gap == 1, x * alpha)
+        .otherwise(x * alpha / (weight + alpha)),
     )
-    return factor, offset
 
 
 def _fold(ends: Column, name: str, start: Column) -> Column:

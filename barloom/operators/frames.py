@@ -7,6 +7,7 @@ Few distinct frames also means few generated classes, which is what short runs p
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import Callable, Mapping
 
 from pyspark.sql import Column
@@ -19,6 +20,7 @@ class Frames:
     def __init__(self, panel: Panel):
         self.panel = panel
         self.windows: dict[str, Column] = {}
+        self._trailing = lru_cache(None)(panel.trailing)
 
     def _add(self, name: str, make: Callable[[], Column]) -> Column:
         if name not in self.windows:
@@ -39,18 +41,18 @@ class Frames:
     def rolling(self, fn: str, c: str, n: int) -> Column:
         """`fn` names an aggregate function, e.g. sum, min, stddev_samp."""
         agg = getattr(F, fn)
-        value = self._add(f"_{fn}{n}_{c}", lambda: agg(F.col(c)).over(self.panel.trailing(n)))
+        value = self._add(f"_{fn}{n}_{c}", lambda: agg(F.col(c)).over(self._trailing(n)))
         return self._full(c, F.col(c).isNotNull(), n, value)
 
     def mean(self, c: str, n: int) -> Column:
         return self.rolling("sum", c, n) / F.lit(n)
 
     def cov(self, a: str, b: str, n: int) -> Column:
-        value = self._add(f"_cov{n}_{a}_{b}", lambda: F.covar_samp(a, b).over(self.panel.trailing(n)))
+        value = self._add(f"_cov{n}_{a}_{b}", lambda: F.covar_samp(a, b).over(self._trailing(n)))
         return self._full(f"{a}_{b}", F.col(a).isNotNull() & F.col(b).isNotNull(), n, value)
 
     def _values(self, c: str, n: int) -> Column:
-        return self._add(f"_list{n}_{c}", lambda: F.collect_list(c).over(self.panel.trailing(n)))
+        return self._add(f"_list{n}_{c}", lambda: F.collect_list(c).over(self._trailing(n)))
 
     def mad(self, c: str, n: int) -> Column:
         """Mean absolute distance from the frame mean; the list holds n values at most."""

@@ -18,6 +18,7 @@ Both kinds offer the same operators, so features are written once.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -122,14 +123,14 @@ class Panel:
     def group(self) -> list[str]:
         return [self.key, SEGMENT] if self.split else [self.key]
 
-    @property
+    @cached_property
     def series(self) -> WindowSpec:
         # (block, row) is the time order; naming the block lets one sort serve the block
         # windows of the exponential mean too.
         order = [BLOCK, ROW] if BLOCK in self.frame.columns else [ROW]
         return Window.partitionBy(*self.group).orderBy(*order)
 
-    @property
+    @cached_property
     def so_far(self) -> WindowSpec:
         return self.series.rowsBetween(Window.unboundedPreceding, 0)
 

@@ -21,6 +21,9 @@ def build_session(app: str = "barloom", master: str | None = None, shuffle_parti
         .config("spark.sql.session.timeZone", "UTC")
         # wide feature plans hold more generated classes than the default cache of 100
         .config("spark.sql.codegen.cache.maxEntries", "2000")
+        # The JIT compiler refuses methods above 8,000 bytes of bytecode; a wide projection fused
+        # into one method would be interpreted for good. Past the limit Spark uses split methods.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
