@@ -127,9 +127,9 @@ SELECT s.Date, s.Ticker, s.rn, {', '.join(_gap_step(n, a) for n, a in _GAP_MEANS
 FROM gap_means e JOIN numbered s ON s.Ticker = e.Ticker AND s.rn = e.rn + 1""")
 
 
-@query("W-13 W-14 V-03", over("gap_means", body=f"SELECT Date, Ticker, {', '.join(rnd(n) for n in _GAP_MEANS)} FROM gap_means"))
+@query("W-13 W-14 V-03", over("gap_means", body=f"SELECT Date, Ticker, {', '.join(rnd(n, n, 4) for n in _GAP_MEANS)} FROM gap_means"))
 def exponential_means_with_holes(spark, sf):
-    return shown(ewm_mean(panel_of(spark, sf), {n: ("v", a) for n, a in _GAP_MEANS.items()}), *_GAP_MEANS)
+    return shown(ewm_mean(panel_of(spark, sf), {n: ("v", a) for n, a in _GAP_MEANS.items()}), *_GAP_MEANS, digits=4)
 
 
 @query("W-18 A-03", over("holes", body="""
