@@ -25,7 +25,7 @@ def stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if key not in _STORED:
         make, cluster, partition = _MAKERS[name]
         path = shared_dir(spark, name)
-        writer = make(spark, sf).repartition(cluster).write
+        writer = make(spark, sf).hint("rebalance", cluster).write
         (writer.partitionBy(partition) if partition else writer).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])

@@ -153,6 +153,6 @@ def _segment_starts(panel: Panel, names: list[str], block: str) -> Panel:
     key_type = panel.frame.schema[panel.key].dataType.simpleString()
     segment_type = panel.frame.schema[SEGMENT].dataType.simpleString()
     schema = f"`{panel.key}` {key_type}, {SEGMENT} {segment_type}, " + ", ".join(f"_k_{n} double" for n in names)
-    # One row per segment: a millionth of the rows, even when one key holds most of them.
+    # One short row per segment (about 65,000 rows each), even when one key holds most rows.
     starts = totals.groupBy(panel.key).applyInPandas(scan, schema)
     return replace(panel, frame=panel.frame.join(starts, panel.group, "left"))

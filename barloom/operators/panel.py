@@ -32,6 +32,7 @@ BLOCK = "_block"  # fixed-size run of rows, the unit of the exponential mean
 SEGMENT = "_segment"
 CORE = "_core"    # false on rows copied in as a halo
 BLOCK_ROWS = 1024
+MAX_SEGMENT_ROWS = 64 * BLOCK_ROWS  # keeps the list of block ends of a segment short
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ class Panel:
         `halo` is the longest reach of any chain of rolling frames that follows. A series is cut
         at bucket borders, so `bucket_seconds` should hold far fewer rows of one key than a
         segment. By default a series of n rows gets segments of 8 * sqrt(n) rows, but at least
-        four halos: segments and carry table then grow together, both far slower than the data.
+        four halos and at most 64 blocks; the carry table has one row per segment.
         """
         order = (order,) if isinstance(order, str) else tuple(order)
         fill = dict(fill or {})
@@ -86,7 +87,7 @@ class Panel:
         # Small table: one row per (key, bucket) that exists, counted before the shuffle.
         by_time = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
         counts = bucketed.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        size = F.greatest(F.lit(4 * halo), F.ceil(8 * F.sqrt("_total")))
+        size = F.greatest(F.lit(4 * halo), F.least(F.ceil(8 * F.sqrt("_total")), F.lit(MAX_SEGMENT_ROWS)))
         if rows_per_segment:
             size = F.lit(rows_per_segment)
         cuts = (
