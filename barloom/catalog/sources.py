@@ -69,8 +69,8 @@ def latest_predictions(spark, sf):
     """Written by date and read back, so the newest partition alone is scanned."""
     path = shared_dir(spark, "predictions")
     stored(spark, sf, "screening").write.partitionBy("Date").parquet(path)
-    stored = readers.read_table(spark, path, readers.PREDICTIONS_SCHEMA)
-    return readers.latest_day(stored).select("Date", "Ticker", "Prediction", "Probability")
+    written = readers.read_table(spark, path, readers.PREDICTIONS_SCHEMA)
+    return readers.latest_day(written).select("Date", "Ticker", "Prediction", "Probability")
 
 
 @query("S-10 K-05", over("scored", body="SELECT * FROM scored WHERE Extraction_Date >= DATE '2024-01-03'"))

@@ -69,13 +69,16 @@ def score_series(spark: SparkSession, store: Store, model: PipelineModel, as_of:
 
 def run_daily(
     spark: SparkSession, store: Store, as_of: dt.date, bars: DataFrame, index: DataFrame, snapshots: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel, years: int = 2,
 ) -> DataFrame:
-    """All steps of one day; returns the joined screening frame."""
+    """All steps of one day; returns the joined screening frame.
+
+    `years` is the look-back of the running features; train the model with the same value.
+    """
     ingest(store, bars, index, snapshots)
     copy_raw(spark, store, as_of)
     score_fundamentals(spark, store)
-    score_series(spark, store, model, as_of)
+    score_series(spark, store, model, as_of, years)
     return screening.main_frame(
         spark.read.parquet(store.path(SCORED)), spark.read.parquet(store.path(PREDICTIONS))
     )
