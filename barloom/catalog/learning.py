@@ -29,15 +29,9 @@ def training_frame(spark: SparkSession, sf: str) -> DataFrame:
     return label.training_rows(rows.select("Date", "Ticker", *label.RAW_COLUMNS, *SERVING_FEATURES, "target"))
 
 
-def stored_training_frame(spark: SparkSession, sf: str) -> DataFrame:
-    """The training rows as a written table: fits read them many times."""
-    path = shared_dir(spark, "training")
-    training_frame(spark, sf).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def periods(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return label.split_by_day(stored_training_frame(spark, sf), SPLIT, purge=label.HORIZON)
+    """Both periods of the training rows as a written table: fits read them many times."""
+    return label.split_by_day(stored(spark, sf, "training"), SPLIT, purge=label.HORIZON)
 
 
 @query("M-01 M-02 M-04 M-05 M-06 A-15 A-16")
@@ -62,7 +56,7 @@ def candidate_model_confusion(spark, sf):
 @query("M-07 S-11 K-07 A-01 J-05 Q-03")
 def score_latest_rows(spark, sf):
     """Fit, store, load, and score the last row of every series."""
-    fitted = model.fit(stored_training_frame(spark, sf), SERVING_FEATURES)
+    fitted = model.fit(stored(spark, sf, "training"), SERVING_FEATURES)
     path = shared_dir(spark, "model")
     model.save(fitted, path)
     bars = stored(spark, sf, "bars")
@@ -92,7 +86,7 @@ def parameter_search(spark, sf):
     """Random settings of the small end of the search space, cross-validated on precision."""
     train, _ = periods(spark, sf)
     space = research.SEARCH_SPACE | {"numTrees": [100], "maxDepth": [3, 5]}
-    return research.random_search(train, SERVING_FEATURES, n=2, folds=2, space=space)[0]
+    return research.random_search(model.narrowed(train, SERVING_FEATURES), SERVING_FEATURES, n=2, folds=2, space=space)[0]
 
 
 @query("M-12 M-13 O-05")

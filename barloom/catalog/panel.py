@@ -143,3 +143,29 @@ SELECT Date, Ticker, CAST(COALESCE(v > pad - 1 AND v > Open, FALSE) AS INTEGER)
 def flags_count_unknown_as_zero(spark, sf):
     p = panel_of(spark, sf, fill=True)
     return p.with_columns({"rising": flag((F.col("v") > F.col("pad") - 1) & (F.col("v") > F.col("Open")))}).result().select(*KEYS, "rising")
+
+
+@query("V-01 V-03", over("padded", body=f"""
+SELECT Date, Ticker, CASE WHEN n = 10 THEN ROUND(l[10] - list_max(l), 6) + 0.0 END AS below_best
+FROM (SELECT Date, Ticker, LIST(pad) OVER {frame(10)} AS l, COUNT(pad) OVER {frame(10)} AS n FROM padded)"""))
+def function_of_a_frame(spark, sf):
+    """A user function over the values of each frame: distance of the last value to the best."""
+    w = Frames(panel_of(spark, sf, fill=True))
+    below = w.values("pad", 10, lambda v: F.element_at(v, -1) - F.array_max(v))
+    return shown(w.apply({"below_best": below}), "below_best")
+
+
+@query("X-11 X-12 X-13", over("holes", body=f"""
+SELECT Date, Ticker, {rnd(f'CASE WHEN v IS NOT NULL AND LAG(v) OVER {W} IS NOT NULL THEN GREATEST(v - LAG(v) OVER {W}, 0) END', 'gain')},
+  {rnd(f'CASE WHEN v IS NOT NULL AND LAG(v) OVER {W} IS NOT NULL THEN GREATEST(LAG(v) OVER {W} - v, 0) END', 'loss')},
+  CAST(SIGN(v - LAG(v) OVER {W}) AS DOUBLE) AS direction, {rnd('ABS(v - Open) / NULLIF(High - Low, 0)', 'share')} FROM holes"""))
+def clipped_steps_with_holes(spark, sf):
+    from barloom.functions.nulls import negative_part, positive_part, ratio, zero_to_null
+
+    w = Frames(panel_of(spark, sf))
+    step = F.col("v") - w.lag("v")
+    p = w.apply({
+        "gain": positive_part(step), "loss": negative_part(step), "direction": F.signum(step),
+        "share": ratio(F.abs(F.col("v") - F.col("Open")), zero_to_null(F.col("High") - F.col("Low"))),
+    })
+    return shown(p, "gain", "loss", "direction", "share")

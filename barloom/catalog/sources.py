@@ -132,3 +132,10 @@ def latest_load_wins(spark, sf):
     raw = tables.stock_dashboard(spark, sf)
     loaded = raw.withColumn("load", F.col("Extraction_Date"))
     return latest_per_key(loaded, "load", "Ticker", "Extraction_Date").drop("load")
+
+
+@query("Q-18 A-01 A-07", over("bars", body="""
+SELECT Ticker, MAX(Date) AS Date, CAST((SELECT MAX(Date) FROM bars) - MAX(Date) AS INTEGER) AS days_behind FROM bars
+GROUP BY Ticker HAVING MAX(Date) < (SELECT MAX(Date) FROM bars)"""))
+def lagging_series(spark, sf):
+    return readers.lagging(stored(spark, sf, "bars"))

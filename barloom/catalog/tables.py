@@ -14,7 +14,16 @@ _MAKERS = {
     "market": (lambda spark, sf: tables.market(spark, sf, stored(spark, sf, "bars")), "Date", None),
     "scored": (lambda spark, sf: score(tables.stock_dashboard(spark, sf)), "Extraction_Date", "Extraction_Date"),
     "screening": (tables.screening, "Date", "Date"),
+    "training": (lambda spark, sf: _training(spark, sf), "Ticker", None),
 }
+
+
+def _training(spark: SparkSession, sf: str) -> DataFrame:
+    from barloom.catalog.learning import training_frame
+
+    return training_frame(spark, sf)
+
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 

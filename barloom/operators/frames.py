@@ -61,6 +61,10 @@ class Frames:
         total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + F.abs(x - mean))
         return self._full(c, F.col(c).isNotNull(), n, total / F.lit(n))
 
+    def values(self, c: str, n: int, fn: Callable[[Column], Column]) -> Column:
+        """Any function of a full frame, written over the array of its n values (in row order)."""
+        return self._full(c, F.col(c).isNotNull(), n, fn(self._values(c, n)))
+
     def quantile(self, c: str, q: float, n: int) -> Column:
         """Linearly interpolated quantile, from a sorted list of n values."""
         ranked = F.sort_array(self._values(c, n))

@@ -58,6 +58,9 @@ class Panel:
     ) -> "Panel":
         """Build a panel; `fill` maps new column -> column to carry forward over nulls.
 
+        The key is never NULL. A calendar panel expects one row per (key, date); collapse repeats
+        with `joins.one_per_key` first.
+
         `halo` is the longest reach of any chain of rolling frames that follows. A series is cut
         at bucket borders, so `bucket_seconds` should hold far fewer rows of one key than a
         segment. By default a series of n rows gets segments of 8 * sqrt(n) rows, but at least
@@ -82,7 +85,8 @@ class Panel:
     @classmethod
     def _split(cls, frame, key, order, fill, halo, rows_per_segment, bucket_seconds) -> "Panel":
         bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
-        bucketed = frame.withColumn("_bucket", bucket.cast("long"))
+        # rows without a time sort first, so they share the earliest bucket
+        bucketed = frame.withColumn("_bucket", F.coalesce(bucket.cast("long"), F.lit(-(2**62))))
 
         # Small table: one row per (key, bucket) that exists, counted before the shuffle.
         by_time = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -145,6 +149,7 @@ class Panel:
     # ---- expressions ----------------------------------------------------------------
 
     def lag(self, c: str | Column, k: int = 1) -> Column:
+        self.check_reach(k)
         return F.lag(c, k).over(self.series)
 
     def lead(self, c: str | Column, k: int = 1) -> Column:

@@ -89,6 +89,13 @@ def latest_per_series(frame: DataFrame, key: str = "Ticker", date: str = "Date")
     return last.select(key, date, "_v.*").select(*frame.columns)
 
 
+def lagging(frame: DataFrame, key: str = "Ticker", date: str = "Date") -> DataFrame:
+    """Series whose last row is older than the newest date of the table, with the days behind."""
+    newest = frame.agg(F.max(date).alias("d")).scalar()
+    last = frame.groupBy(key).agg(F.max(date).alias(date))
+    return last.filter(F.col(date) < newest).withColumn("days_behind", F.date_diff(newest, F.col(date)))
+
+
 def in_universe(frame: DataFrame, universe: DataFrame, key: str = "Ticker") -> DataFrame:
     """Keep the series of a ticker list (a semi join; the planner sizes the list)."""
     return frame.join(universe.select(key).distinct(), key, "left_semi")
