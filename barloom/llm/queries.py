@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm.frames import table
+from barloom.llm.packing import pack, token_pieces
 from barloom.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,8 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), WORD_TOKENIZER, limit=2048)
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_pieces(table(spark, sf_dir, "documents"), WORD_TOKENIZER, length=4096, end_id=2), capacity=4096)
