@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import barloom
 from barloom.session import shared_dir
 
 #: Most bytes of rows that Spark hands to a Python worker at once.
@@ -24,8 +27,16 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed but on the driver's path."""
+    root, known = str(Path(barloom.__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(x for x in (known.get("PYTHONPATH", ""), root) if x)
+
+
 def arrow_map(frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """`mapInArrow` with batches bounded by bytes, so that a run of long texts does not fill a worker."""
+    importable(frame.sparkSession)
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return frame.mapInArrow(function, schema)
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm.frames import table
 from barloom.llm.packing import pack, token_pieces
 from barloom.llm.token_counts import token_counts
+from barloom.llm.token_files import read_token_files, write_token_files
+from barloom.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +32,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), WORD_TOKENIZER, length=4096, end_id=2), capacity=4096)
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, WORD_TOKENIZER, end_id=2)
+    return read_token_files(spark, path)
