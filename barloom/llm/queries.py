@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm.frames import table
+from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.packing import pack, token_pieces
 from barloom.llm.token_counts import token_counts
 from barloom.llm.token_files import read_token_files, write_token_files
@@ -39,3 +40,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, WORD_TOKENIZER, end_id=2)
     return read_token_files(spark, path)
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=75)
