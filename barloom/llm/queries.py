@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.packing import pack, token_pieces
+from barloom.llm.suffix_dedup import without_repeats
 from barloom.llm.token_counts import token_counts
 from barloom.llm.token_files import read_token_files, write_token_files
 from barloom.session import shared_dir
@@ -45,3 +46,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), width=400).drop("kept")
