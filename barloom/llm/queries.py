@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.packing import pack, token_pieces
+from barloom.llm.quality import fit_quality, quality_scores
 from barloom.llm.suffix_dedup import without_repeats
 from barloom.llm.token_counts import token_counts
 from barloom.llm.token_files import read_token_files, write_token_files
@@ -51,3 +53,15 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), width=400).drop("kept")
+
+
+def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades of `labels`: 2 good and not toxic, 1 one fault, 0 both; a null mark of toxicity counts as none."""
+    labels = table(spark, sf_dir, "labels")
+    return labels.select("doc_id", (F.col("quality").cast("int") + F.when(F.col("toxic") == 1, 0).otherwise(1)).alias("grade"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, fit_quality(docs, rated(spark, sf_dir), top=2), tail=2)
