@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm.decontaminate import benchmark_copies
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.packing import pack, token_pieces
@@ -65,3 +66,10 @@ def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_scores(docs, fit_quality(docs, rated(spark, sf_dir), top=2), tail=2)
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per text and test item that it copies, with the best copy's score and the number of copies."""
+    copies = benchmark_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return copies.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.count(F.lit(1)).alias("n_copies"))
