@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.llm.decontaminate import benchmark_copies
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import jaccard_components
+from barloom.llm.licenses import license_scan, license_sql
 from barloom.llm.packing import pack, token_pieces
 from barloom.llm.quality import fit_quality, quality_scores
 from barloom.llm.suffix_dedup import without_repeats
@@ -73,3 +74,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per text and test item that it copies, with the best copy's score and the number of copies."""
     copies = benchmark_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return copies.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.count(F.lit(1)).alias("n_copies"))
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"), least=0.8)
+
+
+ORACLES["op3_license_scan"] = license_sql(least=0.8)
