@@ -12,6 +12,7 @@ from barloom.llm.decontaminate import benchmark_copies
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.licenses import license_scan, license_sql
+from barloom.llm.neighbours import nearest
 from barloom.llm.packing import pack, token_pieces
 from barloom.llm.quality import fit_quality, quality_scores
 from barloom.llm.suffix_dedup import without_repeats
@@ -82,3 +83,9 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_license_scan"] = license_sql(least=0.8)
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
