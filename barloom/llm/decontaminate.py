@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.frames import arrow_map, batch_of, stored
 from barloom.llm.vocabulary import by_bytes, byte_lengths
-from barloom.llm.words import mixed, word_hashes
+from barloom.llm.words import WORD_BYTES, mixed, word_hashes
 
 #: Test items that are searched at once; a larger test set is searched in so many passes.
 BLOCK = 20_000
@@ -135,7 +135,7 @@ def _counts(texts: DataFrame, known: Lookup) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(known.keys) + 1, np.int64)
         for batch in batches:
-            for part in by_bytes(batch, "text"):
+            for part in by_bytes(batch, "text", WORD_BYTES):
                 words = word_hashes(part.column("text"))[0]
                 total[-1] += len(words)
                 total[:-1] += np.bincount(known.find(words)[1], minlength=len(known.keys))
@@ -187,7 +187,7 @@ def benchmark_copies(
 
         def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in by_bytes(batch, "text"):
+                for part in by_bytes(batch, "text", WORD_BYTES):
                     hashes, starts, ends, offsets = word_hashes(part.column("text"))
                     hits = list(items.value.spans(hashes, offsets, share, least))
                     first = np.concatenate([[0], np.cumsum(byte_lengths(part.column("text")))])
@@ -217,7 +217,7 @@ def without_copies(
 
         def choose(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in by_bytes(batch, text_col):
+                for part in by_bytes(batch, text_col, WORD_BYTES):
                     hashes, _, _, offsets = word_hashes(part.column(text_col))
                     clean = np.ones(part.num_rows, bool)
                     clean[[x[0] for x in items.value.spans(hashes, offsets, share, least)]] = False

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.llm.decontaminate import benchmark_copies
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import jaccard_components
+from barloom.llm.language import fit_languages, identify
 from barloom.llm.licenses import license_scan, license_sql
 from barloom.llm.neighbours import nearest
 from barloom.llm.packing import pack, token_pieces
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -55,7 +57,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents"), width=400).drop("kept")
+    return without_repeats(table(spark, sf_dir, "documents"), width=400).drop("kept", "key")
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,3 +91,12 @@ ORACLES["op3_license_scan"] = license_sql(least=0.8)
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
+
+
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from rows whose id's CRC is not 1 modulo 3, predicts for all."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = fit_languages(docs.where(F.col("doc_id").isNotNull() & ~held_out), PIECES)
+    return identify(docs, model, PIECES, keep={"held_out": held_out})

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.frames import arrow_map, batch_of, stored
@@ -27,6 +27,11 @@ GROUP = 50_000
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def text_key(text: Column) -> Column:
+    """The first 16 bytes of a text's SHA-256; texts with equal keys are taken for equal."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def _digest(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
@@ -38,12 +43,12 @@ def _anchor_rows(rows: DataFrame, width: int) -> DataFrame:
                 data, offsets = text_bytes(part.column("text"))
                 text, h, at, first, last = anchors(data, offsets, width)
                 ends = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32())
-                lists = {n: pa.ListArray.from_arrays(ends, pa.array(x)) for n, x in (("h", h.astype(np.int64)), ("at", at), ("first", first), ("last", last))}
-                whole = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                yield batch_of(id=part.column("id"), key=pa.array(whole), n_bytes=np.diff(offsets), **lists)
+                lists = {n: pa.ListArray.from_arrays(ends, pa.array(x)) for n, x in (("h", h.astype(np.int64)), ("at", at.astype(np.int32)), ("first", first.astype(np.int32)), ("last", last.astype(np.int32)))}
+                whole = [hashlib.sha256(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                yield batch_of(id=part.column("id"), key=pa.array([x.digest()[:16] for x in whole], pa.binary()), whole=pa.array([x.hexdigest() for x in whole], pa.string()), n_bytes=np.diff(offsets), **lists)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return arrow_map(rows, find, f"id {kind}, key string, n_bytes bigint, h array<bigint>, at array<bigint>, first array<bigint>, last array<bigint>")
+    return arrow_map(rows, find, f"id {kind}, key binary, whole string, n_bytes bigint, h array<bigint>, at array<int>, first array<int>, last array<int>")
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
@@ -55,19 +60,19 @@ def _contexts(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: set[int] = set()
-            columns: dict[str, list] = {n: [] for n in ("h", "key", "first", "item", "offset", "context")}
+            columns: dict[str, list] = {n: [] for n in ("h", "key", "first", "item", "offset", "seen", "context")}
             size = 0
             for row in range(batch.num_rows):
                 text, key = batch.column("text")[row].as_buffer(), batch.column("key")[row].as_py()
-                found = (batch.column(c)[row].values.to_pylist() for c in ("h", "at", "first", "until"))
+                found = (batch.column(c)[row].values.to_pylist() for c in ("h", "at", "first", "until", "seen"))
                 view = memoryview(text)
-                for h, at, first, until in zip(*found, strict=True):
+                for h, at, first, until, seen in zip(*found, strict=True):
                     context = bytes(view[first:until])
                     item = _digest(context + (at - first).to_bytes(8, "little"))
                     new = item not in known
                     known.add(item)
                     size += len(context) if new else 0
-                    for name, value in zip(columns, (h, key, first, item, at - first, context if new else None), strict=True):
+                    for name, value in zip(columns, (h, key, first, item, at - first, seen, context if new else None), strict=True):
                         columns[name].append(value)
                     if size > 16 << 20:
                         yield made(columns)
@@ -77,10 +82,10 @@ def _contexts(texts: DataFrame) -> DataFrame:
                 yield made(columns)
 
     def made(columns: dict[str, list]) -> pa.RecordBatch:
-        kinds = {"h": pa.int64(), "key": pa.string(), "first": pa.int64(), "item": pa.int64(), "offset": pa.int64(), "context": pa.binary()}
+        kinds = {"h": pa.int64(), "key": pa.binary(), "first": pa.int64(), "item": pa.int64(), "offset": pa.int64(), "seen": pa.int64(), "context": pa.binary()}
         return batch_of(**{n: pa.array(x, kinds[n]) for n, x in columns.items()})
 
-    return arrow_map(texts, cut, "h bigint, key string, first bigint, item bigint, offset bigint, context binary")
+    return arrow_map(texts, cut, "h bigint, key binary, first bigint, item bigint, offset bigint, seen bigint, context binary")
 
 
 def _groups(items: DataFrame, width: int) -> DataFrame:
@@ -178,20 +183,19 @@ def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int
     places = stored(places, "places")
     shared = places.groupBy("h").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
     shared = stored(places.join(shared, "h"), "shared")
-    entry = F.struct("at", "h", "first", (F.col("last") + width).alias("until"))
+    entry = F.struct("at", "h", "first", (F.col("last") + width).alias("until"), "seen")
     by_text = shared.groupBy("key", "rep").agg(F.array_sort(F.collect_list(entry)).alias("a"))  # at most one text's anchors
-    by_text = by_text.select(F.col("key").alias("_key"), "rep", *[F.col(f"a.{c}").alias(c) for c in ("h", "at", "first", "until")])
-    texts = rows.where(F.octet_length("text") >= width).withColumn("_key", F.sha2(F.col("text"), 256))
-    texts = texts.join(by_text, (texts["_key"] == by_text["_key"]) & texts["id"].eqNullSafe(by_text["rep"])).select(by_text["_key"].alias("key"), "text", "h", "at", "first", "until")
+    by_text = by_text.select(F.col("key").alias("_key"), "rep", *[F.col(f"a.{c}").alias(c) for c in ("h", "at", "first", "until", "seen")])
+    texts = rows.where(F.octet_length("text") >= width).withColumn("_key", text_key(F.col("text")))
+    texts = texts.join(by_text, (texts["_key"] == by_text["_key"]) & texts["id"].eqNullSafe(by_text["rep"])).select(by_text["_key"].alias("key"), "text", "h", "at", "first", "until", "seen")
     contexts = stored(_contexts(texts.withColumn("text", F.col("text").cast("binary"))), "contexts")
-    counts = contexts.groupBy("h", "item").agg(F.countDistinct("key", "first").alias("n"), F.max("offset").alias("offset"))
+    counts = contexts.groupBy("h", "item").agg(F.countDistinct("key", "first").alias("n"), F.max("offset").alias("offset"), F.max("seen").alias("seen"))
     bytes_of = contexts.where(F.col("context").isNotNull()).select("h", "item", "context")
-    items = bytes_of.join(counts, ["h", "item"]).join(shared.groupBy("h").agg(F.count(F.lit(1)).alias("seen")), "h")
-    items = stored(items.dropDuplicates(["h", "item"]), "items")
+    items = stored(bytes_of.join(counts, ["h", "item"]).dropDuplicates(["h", "item"]), "items")
     spans = _groups(items.where(F.col("seen") <= group), width).unionByName(_windows(items.where(F.col("seen") > group), width))
     spans = stored(spans, "item-spans")
     where = contexts.select("key", "first", "item").distinct().join(spans, "item")
-    return found.select("id", "key", "n_bytes"), classes, where.select("key", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop")).alias("stop"), "repeat_id")
+    return found.select("id", "key", "whole", "n_bytes"), classes, where.select("key", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop")).alias("stop"), "repeat_id")
 
 
 def maximal_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
@@ -208,7 +212,8 @@ def maximal_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", t
 
 
 def without_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """For every row: id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; null where nothing went).
+    """For every row: id, n_bytes, n_removed, n_spans, kept_sha256, key (of the whole text)
+    and kept (what remains as text, without parts of characters; null where nothing went).
 
     A byte goes if some string of `width` bytes that covers it also starts elsewhere, in any row or
     the same one, overlaps included. Texts shorter than `width` stay. Null counts as empty. Repeated
@@ -224,15 +229,15 @@ def without_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", t
     gone = F.coalesce(F.col("copies") > 1, F.lit(False))
     plain = state.where("_partial IS NULL").select(
         "id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.lit(0)).cast("bigint").alias("n_removed"), gone.cast("bigint").alias("n_spans"),
-        F.when(gone, F.lit(empty)).otherwise(F.col("key")).alias("kept_sha256"), F.when(gone, F.lit(b"")).alias("kept"),
+        F.when(gone, F.lit(empty)).otherwise(F.col("whole")).alias("kept_sha256"), "key", F.when(gone, F.lit("")).alias("kept"),
     )
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.where(F.octet_length("text") >= width).withColumn("_key", F.sha2(F.col("text"), 256))
-    cut = rows.join(merged, (rows["_key"] == merged["_key"]) & rows["id"].eqNullSafe(merged["rep"])).select("id", F.col("text").cast("binary").alias("text"), "starts", "stops")
+    rows = rows.where(F.octet_length("text") >= width).withColumn("_key", text_key(F.col("text")))
+    cut = rows.join(merged, (rows["_key"] == merged["_key"]) & rows["id"].eqNullSafe(merged["rep"])).select("id", merged["_key"].alias("key"), F.col("text").cast("binary").alias("text"), "starts", "stops")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: dict[str, list] = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+            columns: dict[str, list] = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "key", "kept")}
             for row in range(batch.num_rows):
                 data = memoryview(batch.column("text")[row].as_buffer())
                 kept, reach, runs = [], 0, 0
@@ -242,11 +247,11 @@ def without_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", t
                         runs += 1
                     reach = max(reach, stop)
                 rest = b"".join([*kept, data[reach:]])
-                for name, value in zip(columns, (len(data), len(data) - len(rest), runs, hashlib.sha256(rest).hexdigest(), rest), strict=True):
+                for name, value in zip(columns, (len(data), len(data) - len(rest), runs, hashlib.sha256(rest).hexdigest(), batch.column("key")[row].as_py(), rest.decode("utf-8", "ignore")), strict=True):
                     columns[name].append(value)
-            kinds = {"kept_sha256": pa.string(), "kept": pa.binary()}
+            kinds = {"kept_sha256": pa.string(), "key": pa.binary(), "kept": pa.string()}
             yield batch_of(id=batch.column("id"), **{n: pa.array(x, kinds.get(n, pa.int64())) for n, x in columns.items()})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    changed = arrow_map(cut, remove, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    changed = arrow_map(cut, remove, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, key binary, kept string")
     return plain.unionByName(changed).withColumnRenamed("id", id_col)

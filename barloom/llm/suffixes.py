@@ -16,7 +16,7 @@ from barloom.llm.words import mixed
 
 GRAM = 32
 #: Bytes that are looked at together.
-SLICE = 8 << 20
+SLICE = 2 << 20
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:

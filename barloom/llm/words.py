@@ -11,6 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Bytes of text whose words are hashed together; each takes some fifty bytes of memory.
+WORD_BYTES = 4 << 20
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
@@ -64,15 +67,14 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         sums = np.zeros(len(data) + 1, np.uint64)
         step = 1 << 20
         power = powers(step + 1)
-        scale = np.uint64(1)
-        total = np.uint64(0)
+        scale, total = np.ones(1, np.uint64), np.zeros(1, np.uint64)
         low = _LOWER[data].astype(np.uint64) + np.uint64(1)
         for k in range(0, len(data), step):
             part = low[k : k + step] * (power[: min(step, len(data) - k)] * scale)
             np.cumsum(part, out=part)
             sums[k + 1 : k + 1 + len(part)] = part + total
-            total = sums[k + len(part)]
-            scale = scale * power[step]
+            total = sums[k + len(part)][None]
+            scale = scale * power[step : step + 1]
         back = np.full(len(data) + 1, _INVERSE, np.uint64)
         back[0] = 1
         back = np.multiply.accumulate(back)
