@@ -73,6 +73,7 @@ def test_components_equal_brute_force(spark, documents, monkeypatch, leaf):
     rows = [(k, t) for k, t in enumerate(near_copies(3, 4, 14) + near_copies(5, 2, 25, words=30, edits=12))] + EDGES
     for rounds in (3, 0):
         monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+        monkeypatch.setattr(jaccard_join, "BLOCKS", 1 if rounds else 16)
         got = as_rows(jaccard_components(documents(rows, "n_shingles"), leaf=leaf, frequent=0.2 if rounds else 0.001))
         assert got == sorted(brute_components(rows), key=lambda r: tuple((x is not None, x) for x in r))
 
