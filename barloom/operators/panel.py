@@ -7,7 +7,7 @@ become one endless task, so a panel is one of two kinds:
   has at most 366 rows a year whatever the size of the table, which is a proven bound, and a
   window over the key is one sort inside one hash exchange.
 * **Split panel** - any other order (timestamps, several columns). Rows are counted per
-  (key, time bucket); the running count cuts each long series into segments of about
+  (key, time bucket) and numbered; the number cuts each long series into segments of
   equal size. Rolling frames reach back through a halo of rows copied from the
   segment before, and running state (last value, running sum, exponential mean) enters each
   segment through a small per-segment carry table. One key may hold any share of the table.
@@ -42,6 +42,7 @@ class Panel:
     order: tuple[str, ...]
     split: bool = False
     halo: int = 0
+    ahead: int = 0
 
     # ---- construction -------------------------------------------------------------
 
@@ -55,22 +56,26 @@ class Panel:
         halo: int = 256,
         rows_per_segment: int | None = None,
         bucket_seconds: int = 3_600,
+        ahead: int = 0,
     ) -> "Panel":
         """Build a panel; `fill` maps new column -> column to carry forward over nulls.
 
         The key is never NULL. A calendar panel expects one row per (key, date); collapse repeats
         with `joins.one_per_key` first.
 
-        `halo` is the longest reach of any chain of rolling frames that follows. A series is cut
-        at bucket borders, so `bucket_seconds` should hold far fewer rows of one key than a
-        segment. By default a series of n rows gets segments of 8 * sqrt(n) rows, but at least
-        four halos and at most 64 blocks; the carry table has one row per segment.
+        `halo` is the longest reach of any chain of rolling frames that follows, `ahead` that of
+        `lead`. A series is cut by row number, so a segment has its own rows, at most `halo` copied
+        from before and `ahead` from behind. Rows are numbered within time buckets, which are sorted
+        as one group: `bucket_seconds` should hold far fewer rows of one key than memory. By
+        default a series of n rows gets segments of 8 * sqrt(n) rows, but at least four times the
+        reach and at most 64 blocks; the carry table has one row per segment. A frame over a
+        running sum or an exponential mean sees only the segment's own rows.
         """
         order = (order,) if isinstance(order, str) else tuple(order)
         fill = dict(fill or {})
         if len(order) == 1 and isinstance(frame.schema[order[0]].dataType, T.DateType):
             return cls._calendar(frame, key, order, fill)
-        return cls._split(frame, key, order, fill, halo, rows_per_segment, bucket_seconds)
+        return cls._split(frame, key, order, fill, halo, ahead, rows_per_segment, bucket_seconds)
 
     @classmethod
     def _calendar(cls, frame: DataFrame, key: str, order: tuple[str, ...], fill: dict[str, str]) -> "Panel":
@@ -83,7 +88,10 @@ class Panel:
         return cls(_with_block(numbered), key, order)
 
     @classmethod
-    def _split(cls, frame, key, order, fill, halo, rows_per_segment, bucket_seconds) -> "Panel":
+    def _split(cls, frame, key, order, fill, halo, ahead, rows_per_segment, bucket_seconds) -> "Panel":
+        reach = max(halo, ahead)
+        if rows_per_segment and rows_per_segment < reach:
+            raise ValueError(f"segments of {rows_per_segment} rows are shorter than the reach of {reach} rows")
         bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
         # rows without a time sort first, so they share the earliest bucket
         bucketed = frame.withColumn("_bucket", F.coalesce(bucket.cast("long"), F.lit(-(2**62))))
@@ -91,7 +99,7 @@ class Panel:
         # Small table: one row per (key, bucket) that exists, counted before the shuffle.
         by_time = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
         counts = bucketed.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        size = F.greatest(F.lit(4 * halo), F.least(F.ceil(8 * F.sqrt("_total")), F.lit(MAX_SEGMENT_ROWS)))
+        size = F.greatest(F.lit(4 * reach), F.least(F.ceil(8 * F.sqrt("_total")), F.lit(MAX_SEGMENT_ROWS)), F.lit(1))
         if rows_per_segment:
             size = F.lit(rows_per_segment)
         cuts = (
@@ -99,28 +107,28 @@ class Panel:
                 {"_end": F.sum("_n").over(by_time), "_total": F.sum("_n").over(Window.partitionBy(key))}
             )
             .withColumn("_size", size.cast("long"))
-            .withColumn(SEGMENT, F.floor((F.col("_end") - F.col("_n")) / F.col("_size")))
-            .withColumn("_last", F.max(SEGMENT).over(Window.partitionBy(key)))
-            .select(
-                key,
-                "_bucket",
-                (F.col("_end") - F.col("_n")).alias("_before"),
-                SEGMENT,
-                # later segments whose first rows can reach back into this bucket
-                F.least("_last", F.floor((F.col("_end") + F.lit(halo)) / F.col("_size"))).alias("_reach"),
-            )
+            .select(key, "_bucket", (F.col("_end") - F.col("_n")).alias("_before"), "_total", "_size")
+        )
+        in_bucket = Window.partitionBy(key, "_bucket").orderBy(*order)
+        placed = (
+            bucketed.join(cuts, [key, "_bucket"])
+            .withColumn(ROW, F.col("_before") + F.row_number().over(in_bucket))
+            # by row number, so that no segment is longer than the size, however full a bucket is
+            .withColumn(SEGMENT, F.floor((F.col(ROW) - 1) / F.col("_size")))
         )
-        placed = bucketed.join(cuts, [key, "_bucket"])
-
-        in_bucket = Window.partitionBy(key, SEGMENT, "_bucket").orderBy(*order)
-        placed = placed.withColumn(ROW, F.col("_before") + F.row_number().over(in_bucket))
         panel = cls(placed.withColumn(CORE, F.lit(True)), key, order, split=True)
         placed = panel.forward_fill(fill).frame.drop("_bucket", "_before", CORE)
 
-        copies = F.explode(F.sequence(F.col(SEGMENT), F.greatest(SEGMENT, "_reach"))).alias("_target")
-        spread = placed.select("*", copies)
-        spread = spread.withColumn(CORE, F.col(SEGMENT) == F.col("_target")).drop(SEGMENT, "_reach")
-        return cls(_with_block(spread.withColumnRenamed("_target", SEGMENT)), key, order, split=True, halo=halo)
+        # a row is copied into the next segment if that reaches back to it, and likewise ahead
+        start = F.col(SEGMENT) * F.col("_size")
+        behind = (F.col(ROW) > start + F.col("_size") - halo) & (start + F.col("_size") < F.col("_total"))
+        targets = F.array(
+            F.col(SEGMENT), F.when(behind, F.col(SEGMENT) + 1), F.when((F.col(SEGMENT) > 0) & (F.col(ROW) <= start + ahead), F.col(SEGMENT) - 1)
+        )
+        spread = placed.select("*", F.explode(F.array_compact(targets)).alias("_target"))
+        spread = spread.withColumn(CORE, F.col(SEGMENT) == F.col("_target")).drop(SEGMENT, "_size", "_total")
+        spread = spread.withColumnRenamed("_target", SEGMENT)
+        return cls(_with_block(spread), key, order, split=True, halo=halo, ahead=ahead)
 
     # ---- windows ------------------------------------------------------------------
 
@@ -153,8 +161,8 @@ class Panel:
         return F.lag(c, k).over(self.series)
 
     def lead(self, c: str | Column, k: int = 1) -> Column:
-        if self.split:
-            raise ValueError("a split panel copies rows from the past only; reverse the order to look ahead")
+        if self.split and k > self.ahead:
+            raise ValueError(f"looking {k} rows ahead needs a panel built with ahead={k}")
         return F.lead(c, k).over(self.series)
 
     def diff(self, c: str, k: int = 1) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,10 +38,12 @@ def build_session(app: str = "barloom", master: str | None = None, shuffle_parti
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared `spark.checkpoint.dir`.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is used,
-    because executors of a cluster could not see it.
+    Where that setting is absent, a temporary folder is used on a local master only: executors of
+    a cluster could not see it, so there the call is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="barloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -212,3 +212,21 @@ def test_day_functions(spark):
     f = spark.sql("select timestamp '2024-01-02 06:59:00' a, timestamp '2024-01-02 07:00:00' b, 1234567.0D n, cast(null as double) x")
     got = one(f.select(text.effective_day(F.col("a")), text.effective_day(F.col("b")), text.grouped(F.col("n")), text.percent(F.lit(0.254)), text.fixed(F.col("x"))))
     assert tuple(got) == (dt.date(2024, 1, 1), dt.date(2024, 1, 2), "1,234,567", "25.4%", None)
+
+
+def test_null_keys_replay_and_unreadable_tables(spark, tmp_path):
+    path = str(tmp_path / "null_keys")
+    d = dt.date(2024, 1, 2)
+    rows = [(d, "A", 1.0), (d, None, 2.0), (None, "A", 3.0), (None, "B", 4.0)]
+    batch = spark.createDataFrame(rows, "Date date, Ticker string, Close double")
+    for _ in range(3):
+        sinks.replace_keys(batch, path)
+        assert sorted(map(str, spark.read.parquet(path).select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+    sinks.replace_keys(batch.filter("Date IS NULL AND Ticker = 'A'").withColumn("Close", F.lit(9.0)), path)
+    assert {(r["Ticker"], r["Close"]) for r in spark.read.parquet(path).filter("Date IS NULL").collect()} == {("A", 9.0), ("B", 4.0)}
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("this is no table")
+    with pytest.raises(Exception):
+        sinks.replace_keys(batch, str(broken))
+    assert not sinks.table_exists(spark, str(tmp_path / "nothing"))

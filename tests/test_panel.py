@@ -140,3 +140,19 @@ def test_looking_ahead_needs_a_calendar_panel(spark):
     _, frame = frame_of(spark, {"A": walk(30, 1)}, minutes=True)
     with pytest.raises(ValueError):
         Panel.of(frame).lead("v", 5)
+
+
+def test_busy_bucket_is_cut_by_row_number(spark):
+    """Most rows in one hour: no segment above its size, copies within the halo only, look-ahead right."""
+    hot = spark.range(5000).select(F.lit("A").alias("Ticker"), (F.lit(1_700_000_000) + F.col("id") / 10).cast("timestamp").alias("Date"), "id", F.col("id").cast("double").alias("x"))
+    late = spark.range(5000, 5100).select(F.lit("A").alias("Ticker"), (F.lit(1_700_090_000) + F.col("id") * 60).cast("timestamp").alias("Date"), "id", F.col("id").cast("double").alias("x"))
+    panel = Panel.of(hot.unionByName(late), order=("Date", "id"), halo=64, rows_per_segment=1000, ahead=5)
+    sizes = [r["count"] for r in panel.frame.filter("_core").groupBy("_segment").count().collect()]
+    assert max(sizes) <= 1000 and sum(sizes) == 5100
+    assert panel.frame.count() <= 5100 + 5 * (64 + 5)
+    rows = panel.with_columns({"back": panel.lag("x", 50), "next": panel.lead("x", 5), "mean": panel.rolling(F.avg, "x", 50)}).result().orderBy("id").collect()
+    assert [r["back"] for r in rows] == [None] * 50 + [float(k) for k in range(5050)]
+    assert [r["next"] for r in rows] == [float(k) for k in range(5, 5100)] + [None] * 5
+    assert all(abs(r["mean"] - (r["id"] - 24.5)) < 1e-9 for r in rows[49:])
+    with pytest.raises(ValueError):
+        panel.lead("x", 6)
