@@ -103,11 +103,3 @@ def in_universe(frame: DataFrame, universe: DataFrame, key: str = "Ticker") -> D
 
 def universe(spark: SparkSession, tickers: list[str]) -> DataFrame:
     return spark.createDataFrame([(t,) for t in tickers], "Ticker string")
-
-
-# The default series list and index symbol.
-DEFAULT_TICKERS = (
-    "AAPL AMGN AXP BA CAT CRM CSCO CVX DIS DOW GS HD HON IBM INTC "
-    "JNJ JPM KO MCD MMM MRK MSFT NKE PG TRV UNH V VZ WMT AMZN"
-).split()
-DEFAULT_INDEX = "^DJI"

@@ -167,7 +167,6 @@ def test_payload(spark):
     assert [(r["Ticker"], r["Company_Name"], r["Market_Cap"], r["ROE"], r["Beta"]) for r in rows] == [("A", "Aa", 5.0, 0.5, None)]
     listed = readers.universe(spark, ["A", "B", "Z"])
     assert sorted(r["Ticker"] for r in payload.fundamentals(found, DAY, listed).collect()) == ["A", "Z"]
-    assert len(readers.DEFAULT_TICKERS) == 30
 
 
 def test_history(spark):
