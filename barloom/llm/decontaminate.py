@@ -23,7 +23,7 @@ from barloom.llm.words import WORD_BYTES, mixed, word_hashes
 #: Test items that are searched at once; a larger test set is searched in so many passes.
 BLOCK = 20_000
 #: An n-gram whose chance at a place of a text is at most this is a seed.
-RARE = 1e-8
+RARE = 1e-7
 #: Seeds that an item keeps in any case, the rarest ones.
 ALWAYS = 4
 
@@ -74,19 +74,17 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 @dataclass
-class Items:
-    """Words and seeds of a block of test items."""
+class Seeds:
+    """Seeds of one size: in order of their hash, the items and the places in them that a seed stands for."""
 
-    names: list
-    words: list[np.ndarray]
     n: int
     lookup: Lookup
-    starts: np.ndarray  # of each seed in the two lists below
-    seed_item: np.ndarray
-    seed_place: np.ndarray
+    starts: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
 
-    def spans(self, words: np.ndarray, offsets: np.ndarray, share: float, least: int) -> Iterator[tuple[int, int, float, int, int]]:
-        """(text, item, score share, first word, end word) of every aligned copy in texts laid end to end."""
+    def hits(self, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, where the item would begin, text) of each seed in texts laid end to end."""
         at, which = self.lookup.find(grams(words, self.n))
         text = np.searchsorted(offsets, at, "right") - 1
         inside = at + self.n <= offsets[text + 1]
@@ -94,7 +92,20 @@ class Items:
         many = self.starts[which + 1] - self.starts[which]
         hit = np.repeat(np.arange(len(at)), many)
         entry = np.repeat(self.starts[which] - (np.cumsum(many) - many), many) + np.arange(len(hit))
-        item, begin, text = self.seed_item[entry], at[hit] - self.seed_place[entry], text[hit]
+        return self.item[entry], at[hit] - self.place[entry], text[hit]
+
+
+@dataclass
+class Items:
+    """Words and seeds of a block of test items."""
+
+    names: list
+    words: list[np.ndarray]
+    seeds: list[Seeds]
+
+    def spans(self, words: np.ndarray, offsets: np.ndarray, share: float, least: int) -> Iterator[tuple[int, int, float, int, int]]:
+        """(text, item, score share, first word, end word) of every aligned copy in texts laid end to end."""
+        item, begin, text = (np.concatenate(x) for x in zip(*(s.hits(words, offsets) for s in self.seeds), strict=True))
         order = np.lexsort((begin, item, text))
         item, begin, text = item[order], begin[order], text[order]
         sizes = np.array([len(x) for x in self.words], np.int64)
@@ -153,18 +164,19 @@ def _items(texts: DataFrame, names: list, words: list[np.ndarray], n: int, rare:
     known = Lookup(np.concatenate(words))
     counts, total = _counts(texts, known)
     logs = np.log((counts + 1) / (total + len(counts)))
-    seeds, seed_item, seed_place = [], [], []
-    size = min([n, *map(len, words)])
+    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
     for k, own in enumerate(words):
+        size = min(n, len(own))
         chance = logs[np.searchsorted(known.keys, own)]
         chance = np.sum([chance[j : len(chance) - size + 1 + j] for j in range(size)], 0)
         chosen = np.flatnonzero((chance <= np.log(rare)) | (np.argsort(np.argsort(chance, kind="stable")) < always))
-        seeds.append(grams(own, size)[chosen]), seed_item.append(np.full(len(chosen), k)), seed_place.append(chosen)
-    seeds, seed_item, seed_place = map(np.concatenate, (seeds, seed_item, seed_place))
-    lookup = Lookup(seeds)
-    order = np.argsort(seeds, kind="stable")
-    starts = np.searchsorted(seeds[order], lookup.keys)
-    return Items(names, words, size, lookup, np.append(starts, len(seeds)), seed_item[order], seed_place[order])
+        found.setdefault(size, []).append((grams(own, size)[chosen], np.full(len(chosen), k), chosen))
+    seeds = []
+    for size, parts in found.items():
+        keys, item, place = map(np.concatenate, zip(*parts, strict=True))
+        lookup, order = Lookup(keys), np.argsort(keys, kind="stable")
+        seeds.append(Seeds(size, lookup, np.append(np.searchsorted(keys[order], lookup.keys), len(keys)), item[order], place[order]))
+    return Items(names, words, seeds)
 
 
 def benchmark_copies(
@@ -174,7 +186,7 @@ def benchmark_copies(
     """Aligned copies of test items: id, item, score (alignment score by item words), start_byte, end_byte in the text.
 
     A copy has a score of at least `share` of the item's words and of `least` (of all words, for
-    shorter items). `n` falls to the shortest item of a block. Null or wordless items and texts give
+    shorter items). An item of fewer than `n` words is one seed. Null or wordless items and texts give
     nothing; repeated rows and repeated items count each; null ids are kept. The test set is walked
     in blocks of `block` items, each against all texts; texts are never moved. Other columns are not read.
     """
