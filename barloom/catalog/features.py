@@ -254,7 +254,7 @@ def assembled_sql(names, relative: str, extra: str = "", where: str = "") -> str
                 body=f"SELECT s.Date, s.Ticker, {', '.join(parts)}{extra} FROM steps s {joins} {where}")
 
 
-@query("M-05 F-01..F-62 serving set", assembled_sql(SERVING_FEATURES, "f_relative_filled"))
+@query("F-01..F-62 serving set", assembled_sql(SERVING_FEATURES, "f_relative_filled"))
 def serving_features(spark, sf):
     """The 30 features of the deployed model."""
     return family(spark, sf, SERVING_FEATURES, fill_market=True)

@@ -66,7 +66,7 @@ def scored_fundamentals(spark, sf):
     return scored(spark, sf)
 
 
-@query("X-01 X-02 X-03 A-10 O-07", over("scored", body="""
+@query("X-01 X-02 X-03 A-10", over("scored", body="""
 SELECT Market_Cap_Category, Valuation_Category, Liquidity_Health, COUNT(*) AS "rows", COUNT(DISTINCT Ticker) AS tickers
 FROM scored GROUP BY 1, 2, 3"""))
 def category_counts(spark, sf):
@@ -213,7 +213,7 @@ def value_counts_with_absent_label(spark, sf):
     return profile.value_counts(tables.given(spark, sf, "lineitem"), "l_returnflag", ["A", "N", "R", "Z"])
 
 
-@query("A-01 A-02 A-18 S-03 S-04", over("bars", "market", body="""
+@query("A-01 A-02 S-03 S-04", over("bars", "market", body="""
 SELECT b.Ticker, b.Date, b.Close, CAST(b.Date = (SELECT MAX(Date) FROM market) AS INTEGER) AS is_index_day,
   (SELECT DJIA_Close FROM market WHERE Date = (SELECT MAX(Date) FROM market)) AS index_close
 FROM bars b JOIN (SELECT Ticker, MAX(Date) AS d FROM bars GROUP BY Ticker) l ON b.Ticker = l.Ticker AND b.Date = l.d"""))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barloom.catalog.tables import stored
 from barloom.catalog.registry import over, query
+from barloom.plans import fundamentals
 from barloom.session import shared_dir
 from barloom.sinks import tables as sinks
 from barloom.sources import readers, tables
@@ -85,3 +86,16 @@ def streamed_daily_load(spark, sf):
             date="Month", prepare=_months,
         ).awaitTermination()
     return spark.read.parquet(f"{root}/table").select(*BAR_COLUMNS)
+
+
+@query("K-05 S-10", over("scored", body="SELECT * FROM scored"))
+def scored_days_overwritten(spark, sf):
+    """Scored days replaced in the target: the first days, then twice all from the newest scored day on."""
+    path = shared_dir(spark, "transformed_stock_dashboard")
+    raw = tables.stock_dashboard(spark, sf)
+    sinks.replace_days(fundamentals.scored(raw.filter(F.col("Extraction_Date") <= dt.date(2024, 1, 3))), path, "Extraction_Date")
+    for _ in range(2):
+        new = fundamentals.since_high_water(raw, spark.read.parquet(path))
+        sinks.replace_days(fundamentals.scored(new), path, "Extraction_Date")
+    written = spark.read.parquet(path)
+    return written.select(*fundamentals.scored(raw.limit(0)).columns)

@@ -73,7 +73,7 @@ def latest_predictions(spark, sf):
     return readers.latest_day(written).select("Date", "Ticker", "Prediction", "Probability")
 
 
-@query("S-10 K-05", over("scored", body="SELECT * FROM scored WHERE Extraction_Date >= DATE '2024-01-03'"))
+@query("S-10", over("scored", body="SELECT * FROM scored WHERE Extraction_Date >= DATE '2024-01-03'"))
 def incremental_scoring(spark, sf):
     """Raw rows from the newest scored day on (that day again), scored."""
     raw = tables.stock_dashboard(spark, sf)
@@ -88,7 +88,7 @@ def initial_scoring(spark, sf):
     return scored(since_high_water(raw, scored(raw.filter(F.lit(False)))))
 
 
-@query("S-12 J-06 P-12", over("bars", body="""
+@query("S-12 P-12", over("bars", body="""
 SELECT * FROM bars WHERE Ticker IN (SELECT CONCAT('S', CAST(s_suppkey AS VARCHAR)) FROM supplier WHERE s_acctbal > 0)"""))
 def bars_of_universe(spark, sf):
     listed = tables.given(spark, sf, "supplier").filter(F.col("s_acctbal") > 0).select(tables.ticker_of(F.col("s_suppkey")).alias("Ticker"))

@@ -79,3 +79,34 @@ def long_series_running_state(spark, sf):
 @query("W-13 W-14", over("readings_mean", body=f"SELECT event_id, event_type, {rnd('y', 'mean')} FROM readings_mean"))
 def long_series_exponential_mean(spark, sf):
     return shown(ewm_mean(readings(spark, sf), {"mean": ("v", ALPHA)}), "mean")
+
+
+@query("F-64 W-02 X-15", f"""
+SELECT event_id, event_type, {rnd('LEAD(value, 5) OVER ' + '(' + W + ')', 'ahead')},
+  CASE WHEN LEAD(value, 5) OVER ({W}) > value * 1.03 THEN 1 ELSE 0 END AS "Target" FROM events""")
+def long_series_label(spark, sf):
+    """Will the value five readings later be more than 3 % higher: a label on time stamps."""
+    events = tables.given(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    panel = Panel.of(events, key="event_type", order=("ts", "event_id"), halo=0, ahead=5, bucket_seconds=600)
+    panel = panel.with_columns({"ahead": panel.lead("value", 5)})
+    rises = F.coalesce(F.col("ahead") > F.col("value") * 1.03, F.lit(False)).cast("int")
+    return shown(panel.with_columns({"Target": rises}), "ahead", "Target")
+
+
+_SHIPPED = "PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity"
+
+
+@query("W-01 W-05 W-06", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_quantity, LAG(l_quantity, 40) OVER w AS back,
+  CASE WHEN COUNT(*) OVER f = 50 THEN ROUND(AVG(l_quantity) OVER f, 6) + 0.0 END AS mean_50,
+  CASE WHEN COUNT(*) OVER f = 50 THEN MAX(l_quantity) OVER f END AS max_50
+FROM lineitem WINDOW w AS ({_SHIPPED}), f AS ({_SHIPPED} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)""")
+def busy_bucket_rolling(spark, sf):
+    """Three keys and buckets of a year: a bucket holds far more rows than a segment."""
+    lines = tables.given(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", F.col("l_shipdate").cast("timestamp").alias("shipped")
+    )
+    order = ("shipped", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    w = Frames(Panel.of(lines, key="l_returnflag", order=order, halo=64, bucket_seconds=365 * 86_400))
+    panel = w.apply({"back": w.lag("l_quantity", 40), "mean_50": w.mean("l_quantity", 50), "max_50": w.rolling("max", "l_quantity", 50)})
+    return rounded(panel.result().select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", "back", "mean_50", "max_50"))

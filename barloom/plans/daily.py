@@ -56,15 +56,17 @@ def score_fundamentals(spark: SparkSession, store: Store) -> None:
     sinks.replace_days(fundamentals.scored(fundamentals.since_high_water(raw, known)), target, "Extraction_Date")
 
 
-def score_series(spark: SparkSession, store: Store, model: PipelineModel, as_of: dt.date, years: int = 2) -> None:
-    """Features over the look-back, last row per series, prediction, replace by day.
+def score_series(spark: SparkSession, store: Store, model: PipelineModel, as_of: dt.date, years: int = 2) -> DataFrame:
+    """Features over the look-back, last row per series, prediction, replace by day; the series left out.
 
-    Running features start where the look-back starts: train with the same start.
+    Running features start where the look-back starts: train with the same start. The result holds
+    the last (Date, Ticker) of each series that lacks a feature and so could not be scored.
     """
     bars = readers.since_years(spark.read.parquet(store.path(BARS)), as_of, years)
     index = readers.since_years(spark.read.parquet(store.path(INDEX)), as_of, years)
     rows = feature_frame(bars, index, SERVING_FEATURES, fill_market=True)
     sinks.replace_days(learning.score_latest(model, rows, SERVING_FEATURES), store.path(PREDICTIONS))
+    return learning.unscorable(rows, SERVING_FEATURES)
 
 
 def run_daily(

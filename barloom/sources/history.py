@@ -21,10 +21,6 @@ def as_bars(history: DataFrame) -> DataFrame:
     return named.withColumn("Date", F.to_date("Date"))
 
 
-def as_index(history: DataFrame, close: str = "DJIA_Close") -> DataFrame:
-    return history.select(F.to_date("date").alias("Date"), F.col("close").alias(close))
-
-
 def column_of(ticker: str, field: str) -> str:
     return f"{ticker}_{field}"
 
