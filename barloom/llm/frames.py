@@ -13,7 +13,7 @@ import barloom
 from barloom.session import shared_dir
 
 #: Most bytes of rows that Spark hands to a Python worker at once.
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
