@@ -69,7 +69,7 @@ class Pieces:
         for size in range(1, min(LONGEST, data.shape[1]) + 1):
             h = h[:, : data.shape[1] - size + 1] * _BASE + data[:, size - 1 :] + np.uint64(1)
             places, which = self.lookup.find(mixed(h).ravel())
-            numbers = np.full(h.size, len(self), np.int64)
+            numbers = np.full(h.size, len(self), np.int32)
             numbers[places] = self.number[which]
             out.append(numbers.reshape(h.shape))
         return out
@@ -129,7 +129,7 @@ def _by_length(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     while len(number):
         size = np.minimum(end - begin, PART - 1 if first else PART)
         for n in np.unique(size[size > 0]).tolist():
-            for at in np.array_split(np.flatnonzero(size == n), max(1, int((size == n).sum()) // 50_000 + 1)):
+            for at in np.array_split(np.flatnonzero(size == n), max(1, int((size == n).sum()) // 20_000 + 1)):
                 if len(at):
                     rows = data[begin[at][:, None] + np.arange(n)]
                     yield number[at], np.concatenate([np.full((len(at), 1), 32, np.uint8), rows], 1) if first else rows

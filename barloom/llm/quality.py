@@ -102,20 +102,20 @@ def fitted(found: np.ndarray, ends: np.ndarray, grades: np.ndarray, top: int, ro
     the ridge holds back words that say nothing and lets telling ones grow.
     """
     n, size = len(grades), 1 << BITS
-    text = np.repeat(np.arange(n), np.diff(ends))
-    inside = grades[text] == top
-    in_top, in_rest = np.bincount(found[inside], minlength=size), np.bincount(found[~inside], minlength=size)
+    found, text = found.astype(np.int32, copy=False), np.repeat(np.arange(n, dtype=np.int32), np.diff(ends))
+    parts = [slice(k, k + (1 << 20)) for k in range(0, len(found), 1 << 20)]  # so that temporary arrays stay small
+    count = lambda which: sum((np.bincount(found[p][which(text[p])], minlength=size) for p in parts), np.zeros(size))
+    in_top, in_rest = count(lambda t: grades[t] == top), count(lambda t: grades[t] != top)
     ratio = np.log((in_top + 1) / (np.sum(grades == top) + 2)) - np.log((in_rest + 1) / (np.sum(grades != top) + 2))
     scale = np.where(in_top + in_rest >= seen, np.abs(ratio), 0.0)
-    text, found = text[scale[found] > 0], found[scale[found] > 0]
-    value_of = scale[found]
     weights, gaps = np.zeros(size), np.array([-1.0] + [0.0] * (top - 1))  # first threshold, then logs of the steps
     moments = [np.zeros(size), np.zeros(size), np.zeros(top), np.zeros(top)]
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
     for k in range(1, rounds + 1):
         thresholds = np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
         borders = np.concatenate([[-np.inf], thresholds, [np.inf]])
-        score = np.bincount(text, weights[found] * value_of, n)
+        scaled = weights * scale
+        score = sum((np.bincount(text[p], scaled[found[p]], n) for p in parts), np.zeros(n))
         low, high = borders[grades] - score, borders[grades + 1] - score
         below, above = np.where(np.isfinite(low), sigmoid(low), 0.0), np.where(np.isfinite(high), sigmoid(high), 1.0)
         share = np.maximum(above - below, 1e-12)
@@ -126,7 +126,7 @@ def fitted(found: np.ndarray, ends: np.ndarray, grades: np.ndarray, top: int, ro
         np.add.at(at, grades + 1, -d_high / n)
         by_threshold = at[1:-1]
         by_gap = np.cumsum(by_threshold[::-1])[::-1] * np.concatenate([[1.0], np.exp(gaps[1:])])
-        gradient = np.bincount(found, slope[text] * value_of, size) + ridge * weights / np.sqrt(n)
+        gradient = scale * sum((np.bincount(found[p], slope[text[p]], size) for p in parts), np.zeros(size)) + ridge * weights / np.sqrt(n)
         for value, g, m, v, rate in ((weights, gradient, moments[0], moments[1], 0.1), (gaps, by_gap, moments[2], moments[3], 0.1)):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -157,7 +157,7 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, top: int, id_col: str = "do
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     grades = np.clip(np.asarray(table.column("grade").combine_chunks()), 0, top).astype(np.int64)
     ends = np.asarray(lists.offsets, np.int64)
-    return fitted(np.asarray(lists.flatten(), np.int64), ends - ends[0], grades, top)
+    return fitted(np.asarray(lists.flatten()), ends - ends[0], grades, top)
 
 
 def quality_scores(docs: DataFrame, model: OrdinalModel | None, tail: int, least: float = 0.6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
