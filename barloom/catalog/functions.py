@@ -202,6 +202,19 @@ def column_profile_exact(spark, sf):
     return rounded(out.drop("q25", "median", "q75"), mean=3, std=3)
 
 
+_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("A-14", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST(COUNT({c}) AS DOUBLE) AS "count", CAST(COUNT(*) - COUNT({c}) AS DOUBLE) AS missing,
+  CAST(COUNT(DISTINCT {c}) AS DOUBLE) AS "distinct", {rnd(f'AVG({c})', 'mean', 3)}, {rnd(f'STDDEV_SAMP({c})', 'std', 3)},
+  {rnd(f'MIN({c})', 'min')}, {rnd(f'MAX({c})', 'max')}, {rnd(f'QUANTILE_CONT({c}, 0.25)', 'q25')},
+  {rnd(f'QUANTILE_CONT({c}, 0.5)', 'median')}, {rnd(f'QUANTILE_CONT({c}, 0.75)', 'q75')} FROM lineitem""" for c in _NUMBERS))
+def column_profile_all_numbers(spark, sf):
+    """Every number column, exact quantiles included."""
+    return rounded(profile.column_profile(tables.given(spark, sf, "lineitem"), exact_distinct=True, exact_quantiles=True), mean=3, std=3)
+
+
 @query("A-14 (sketches)")
 def column_profile_approximate(spark, sf):
     return profile.column_profile(tables.given(spark, sf, "lineitem"))

@@ -7,6 +7,7 @@ month, so no 60-row frame would be complete without it).
 from __future__ import annotations
 
 import datetime as dt
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,23 +16,23 @@ from barloom.catalog.registry import over, query, rounded
 from barloom.catalog.tables import stored
 from barloom.learning import evaluation, model, research
 from barloom.operators import label
-from barloom.operators.features import SERVING_FEATURES, feature_frame, features, panel_of_bars
+from barloom.operators.features import RESEARCH_FEATURES, SERVING_FEATURES, feature_frame, features, panel_of_bars
 from barloom.session import shared_dir
 from barloom.sources import tables
 
 SPLIT = dt.date(2000, 6, 1)
 
 
-def training_frame(spark: SparkSession, sf: str) -> DataFrame:
+def training_frame(spark: SparkSession, sf: str, names: Sequence[str] = SERVING_FEATURES) -> DataFrame:
     bars = stored(spark, sf, "bars")
-    panel = features(panel_of_bars(bars, stored(spark, sf, "market"), fill_market=True), SERVING_FEATURES)
+    panel = features(panel_of_bars(bars, stored(spark, sf, "market"), fill_market=True), names)
     rows = label.with_target(panel).result()
-    return label.training_rows(rows.select("Date", "Ticker", *label.RAW_COLUMNS, *SERVING_FEATURES, "target"))
+    return label.training_rows(rows.select("Date", "Ticker", *label.RAW_COLUMNS, *names, "target"))
 
 
-def periods(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def periods(spark: SparkSession, sf: str, name: str = "training") -> tuple[DataFrame, DataFrame]:
     """Both periods of the training rows as a written table: fits read them many times."""
-    return label.split_by_day(stored(spark, sf, "training"), SPLIT, purge=label.HORIZON)
+    return label.split_by_day(stored(spark, sf, name), SPLIT, purge=label.HORIZON)
 
 
 @query("M-01 M-02 M-04 M-05 M-06 A-15 A-16")
@@ -66,8 +67,9 @@ def score_latest_rows(spark, sf):
 
 @query("M-08")
 def model_comparison(spark, sf):
-    train, test = periods(spark, sf)
-    return research.compare_models(train, test, SERVING_FEATURES)
+    """Five classifiers on all candidate features."""
+    train, test = periods(spark, sf, "research")
+    return research.compare_models(train, test, RESEARCH_FEATURES)
 
 
 @query("M-09 A-17 M-14 O-04")
@@ -81,21 +83,39 @@ def feature_contributions(spark, sf):
     )
 
 
-@query("M-10 M-11 M-15")
+@query("M-10 M-15")
 def parameter_search(spark, sf):
-    """Random settings of the small end of the search space, cross-validated on precision."""
-    train, _ = periods(spark, sf)
-    space = research.SEARCH_SPACE | {"numTrees": [100], "maxDepth": [3, 5]}
-    return research.random_search(model.narrowed(train, SERVING_FEATURES), SERVING_FEATURES, n=2, folds=2, space=space)[0]
+    """Twenty random settings of the search space, cross-validated on precision in five folds."""
+    train, _ = periods(spark, sf, "research")
+    return research.random_search(model.narrowed(train, RESEARCH_FEATURES), RESEARCH_FEATURES)[0]
+
+
+@query("M-11")
+def parameter_tuning(spark, sf):
+    """A hundred random settings of the larger space, cross-validated on precision in five folds."""
+    train, _ = periods(spark, sf, "research")
+    return research.random_search(train, RESEARCH_FEATURES, n=research.TUNING_DRAWS, space=research.TUNING_SPACE)[0]
+
 
+def _ranked(train: DataFrame) -> DataFrame:
+    """All candidate features by their contribution to a model on all of them."""
+    fitted = model.fit(train, RESEARCH_FEATURES, model.forest(**model.CANDIDATE))
+    return research.mean_contribution(fitted, train, RESEARCH_FEATURES)
 
-@query("M-12 M-13 O-05")
+
+@query("M-12 O-05")
 def feature_count_experiment(spark, sf):
-    """Metrics of models on all, 20 and 10 of the best features."""
-    train, test = periods(spark, sf)
-    fitted = model.fit(train, SERVING_FEATURES)
-    ranked = research.top_features(research.importance(fitted, SERVING_FEATURES, spark), len(SERVING_FEATURES))
-    return research.feature_count_experiment(train, test, ranked, counts=(20, 10), **model.FINAL)
+    """Metrics of models on all 65 features and on the best 40, 30, 23, 20, 15 and 10."""
+    train, test = periods(spark, sf, "research")
+    ranked = research.top_features(_ranked(train), len(RESEARCH_FEATURES))
+    return research.feature_count_experiment(train, test, ranked)
+
+
+@query("M-13")
+def best_features(spark, sf):
+    """The best 30 of the 65 candidate features."""
+    train, _ = periods(spark, sf, "research")
+    return _ranked(train).limit(research.BEST_FEATURES)
 
 
 def _judged(spark, sf):

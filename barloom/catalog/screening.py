@@ -153,6 +153,18 @@ def fundamentals_table_formatted(spark, sf):
     return plan.formatted(plan.fundamentals_table(kept(spark, sf)).select("Ticker", "Market Cap", "Beta"))
 
 
+def _shown(c: str) -> str:
+    kind = {"Market_Cap": "FORMAT('{:,}', CAST(Market_Cap AS BIGINT))"}
+    return c if c in _DERIVED[:3] else kind.get(c, f"FORMAT('{{:.2f}}', {c})")
+
+
+@query("D-13 X-20 P-17", over("kept", body=f"""
+SELECT Ticker, {', '.join(f'{_shown(c)} AS "{c.replace("_", " ")}"' for c in (*METRICS, *_DERIVED))} FROM kept"""))
+def fundamentals_table_all_formatted(spark, sf):
+    """Every number column as it is shown."""
+    return plan.formatted(plan.fundamentals_table(kept(spark, sf)))
+
+
 @query("D-14 X-18 X-19 X-22 P-07 V-04", over("sorted_in", body="""
 SELECT Ticker, Company_Name, Sector, Probability, Fundamental_Score, Market_Cap, ROE, Forward_PE, Category_Chart
 FROM sorted_in WHERE Market_Cap IS NOT NULL"""))

@@ -15,6 +15,7 @@ _MAKERS = {
     "scored": (lambda spark, sf: score(tables.stock_dashboard(spark, sf)), "Extraction_Date", "Extraction_Date"),
     "screening": (tables.screening, "Date", "Date"),
     "training": (lambda spark, sf: _training(spark, sf), "Ticker", None),
+    "research": (lambda spark, sf: _research(spark, sf), "Ticker", None),
 }
 
 
@@ -24,6 +25,13 @@ def _training(spark: SparkSession, sf: str) -> DataFrame:
     return training_frame(spark, sf)
 
 
+def _research(spark: SparkSession, sf: str) -> DataFrame:
+    from barloom.catalog.learning import training_frame
+    from barloom.operators.features import RESEARCH_FEATURES
+
+    return training_frame(spark, sf, RESEARCH_FEATURES)
+
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
