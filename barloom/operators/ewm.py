@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.panel import BLOCK, BLOCK_ROWS, ROW, SEGMENT, Panel
+from barloom.operators.panel import BLOCK, BLOCK_ROWS, ROW, SEGMENT, UNTIL, Panel
 
 MIN_FACTOR = 1e-40
 MAX_DECAY = math.log(1e240)  # natural log of the decay one block may build up
@@ -44,50 +44,51 @@ def ewm_mean(panel: Panel, means: Mapping[str, tuple[str, float]]) -> Panel:
     """Add new column -> (input column, alpha); all means share one pass."""
     keep = panel.frame.columns
     inputs = sorted({c for c, _ in means.values()})
-    valid = {c: panel.own(F.col(c).cast("double")) for c in inputs}
+    back, ahead = panel.looks(inputs)
+    valid = {c: panel.right(F.col(c).cast("double"), back) for c in inputs}
 
     # 1. rows since the last valid value, per input column
     if panel.split:
-        panel = panel.carry({f"_seen_{c}": F.max(F.when(valid[c].isNotNull(), F.col(ROW))) for c in inputs}, F.max)
+        panel = panel.carry({f"_seen_{c}": F.max(panel.passed(F.when(valid[c].isNotNull(), F.col(ROW)), back)) for c in inputs}, F.max)
     seen = {c: F.max(F.when(valid[c].isNotNull(), F.col(ROW))).over(panel.before) for c in inputs}
     if panel.split:
         seen = {c: F.coalesce(e, F.col(f"_seen_{c}")) for c, e in seen.items()}
-    panel = panel.with_columns({f"_gap_{c}": F.col(ROW) - e for c, e in seen.items()})
+    panel = panel._add({f"_gap_{c}": F.col(ROW) - e for c, e in seen.items()})
 
     # 2. one linear step per row and mean
     rows = _block_rows([a for _, a in means.values()])
     block = BLOCK
     if rows < BLOCK_ROWS:
         block = "_fine"
-        panel = panel.with_columns({block: F.floor((F.col(ROW) - 1) / F.lit(rows)).cast("long")})
+        panel = panel._add({block: F.floor((F.col(ROW) - 1) / F.lit(rows)).cast("long")})
     steps: dict[str, Column] = {}
     for name, (c, alpha) in means.items():
         factor, offset = _step(valid[c], F.col(f"_gap_{c}"), alpha)
         steps |= {f"_c_{name}": factor, f"_d_{name}": offset}
-    panel = panel.with_columns(steps)
+    panel = panel._add(steps)
 
     # 3. running composition inside each block
     in_block = Window.partitionBy(*panel.group, block)
     running = in_block.orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
-    panel = panel.with_columns({f"_p_{n}": F.product(F.col(f"_c_{n}")).over(running) for n in means})
-    panel = panel.with_columns({f"_s_{n}": F.sum(F.col(f"_d_{n}") / F.col(f"_p_{n}")).over(running) for n in means})
-    panel = panel.with_columns({f"_l_{n}": F.col(f"_p_{n}") * F.col(f"_s_{n}") for n in means})
+    panel = panel._add({f"_p_{n}": F.product(F.col(f"_c_{n}")).over(running) for n in means})
+    panel = panel._add({f"_s_{n}": F.sum(F.col(f"_d_{n}") / F.col(f"_p_{n}")).over(running) for n in means})
+    panel = panel._add({f"_l_{n}": F.col(f"_p_{n}") * F.col(f"_s_{n}") for n in means})
 
     # 4. state at the start of each block
     if panel.split:
-        panel = _segment_starts(panel, list(means), block)
+        panel = _segment_starts(panel, list(means), block, back)
     start = {n: F.col(f"_k_{n}") if panel.split else F.lit(0.0) for n in means}
     state = [F.col(f"_{part}_{n}") for n in means for part in ("p", "l")]
     full_blocks = F.collect_list(F.when(F.col(ROW) % rows == 0, F.struct(F.col(block).alias("b"), *state)))
     whole = Window.partitionBy(*panel.group)
-    panel = panel.with_columns({"_ends": full_blocks.over(whole), "_first": F.min(ROW).over(whole)})
+    panel = panel._add({"_ends": full_blocks.over(whole), "_first": F.min(ROW).over(whole)})
     earlier = F.filter(F.sort_array("_ends"), lambda e: e["b"] < F.col(block))
     entering = {n: _fold(earlier, n, start[n]) for n in means}
     if panel.split:
         # many blocks per segment: fold once per block, on its first row
         opens = (F.col(ROW) % rows == 1 % rows) | (F.col(ROW) == F.col("_first"))
         packed = F.struct(*[e.alias(n) for n, e in entering.items()])
-        panel = panel.with_columns({"_start": F.max(F.when(opens, packed)).over(in_block)})
+        panel = panel._add({"_start": F.max(F.when(opens, packed)).over(in_block)})
         entering = {n: F.col("_start")[n] for n in means}
     else:
         # a daily series has a few dozen blocks at most, usually one: a fold per row costs less
@@ -99,7 +100,8 @@ def ewm_mean(panel: Panel, means: Mapping[str, tuple[str, float]]) -> Panel:
     for name, (c, _) in means.items():
         known = F.col(f"_gap_{c}").isNotNull() | valid[c].isNotNull()
         values[name] = F.when(known, F.col(f"_l_{name}") + entering[name] * F.col(f"_p_{name}"))
-    return replace(panel, frame=panel.frame.withColumns(values).select(*keep, *means))
+    reach = {**panel.reach, **{n: (back, ahead) for n in means}} if panel.split else panel.reach
+    return replace(panel, frame=panel.frame.withColumns(values).select(*keep, *means), reach=reach)
 
 
 def _step(x: Column, gap: Column, alpha: float) -> tuple[Column, Column]:
@@ -123,10 +125,11 @@ def _decay(ends: Column, name: str) -> Column:
     return F.aggregate(ends, F.lit(1.0), lambda p, e: p * e[f"_p_{name}"])
 
 
-def _segment_starts(panel: Panel, names: list[str], block: str) -> Panel:
+def _segment_starts(panel: Panel, names: list[str], block: str, back: int) -> Panel:
     """Join the state entering each segment (columns `_k_*`)."""
     state = F.struct(*[F.col(f"_{part}_{n}").alias(f"_{part}_{n}") for n in names for part in ("p", "l")])
-    ends = panel.frame.groupBy(*panel.group, block).agg(F.max_by(state, F.col(ROW)).alias("e"))
+    passed = panel.frame.filter(F.col(ROW) <= F.col(UNTIL) + back)
+    ends = passed.groupBy(*panel.group, block).agg(F.max_by(state, F.col(ROW)).alias("e"))
     fields = [F.col(f"e._{part}_{n}").alias(f"_{part}_{n}") for n in names for part in ("p", "l")]
     listed = ends.groupBy(*panel.group).agg(
         F.sort_array(F.collect_list(F.struct(F.col(block).alias("b"), *fields))).alias("ends")

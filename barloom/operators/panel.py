@@ -17,10 +17,12 @@ Both kinds offer the same operators, so features are written once.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 from typing import Callable, Mapping, Sequence
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,9 @@ ROW = "_row"      # 1-based position in the whole series
 BLOCK = "_block"  # fixed-size run of rows, the unit of the exponential mean
 SEGMENT = "_segment"
 CORE = "_core"    # false on rows copied in as a halo
+FROM = "_from"    # the segment's rows, halo included, come after this row
+UNTIL = "_until"  # and its part of the running state ends here: the next segment's halo follows
+FAR = 2**62       # before and after all rows
 BLOCK_ROWS = 1024
 MAX_SEGMENT_ROWS = 64 * BLOCK_ROWS  # keeps the list of block ends of a segment short
 
@@ -43,6 +48,8 @@ class Panel:
     split: bool = False
     halo: int = 0
     ahead: int = 0
+    # derived column -> rows it looks (back, ahead), summed over the chain of frames it comes from
+    reach: Mapping[str, tuple[int, int]] = field(default_factory=dict)
 
     # ---- construction -------------------------------------------------------------
 
@@ -68,8 +75,8 @@ class Panel:
         from before and `ahead` from behind. Rows are numbered within time buckets, which are sorted
         as one group: `bucket_seconds` should hold far fewer rows of one key than memory. By
         default a series of n rows gets segments of 8 * sqrt(n) rows, but at least four times the
-        reach and at most 64 blocks; the carry table has one row per segment. A frame over a
-        running sum or an exponential mean sees only the segment's own rows.
+        reach and at most 64 blocks; the carry table has one row per segment. The reach of every
+        derived column is summed over its chain, and a chain longer than the halo raises.
         """
         order = (order,) if isinstance(order, str) else tuple(order)
         fill = dict(fill or {})
@@ -116,8 +123,8 @@ class Panel:
             # by row number, so that no segment is longer than the size, however full a bucket is
             .withColumn(SEGMENT, F.floor((F.col(ROW) - 1) / F.col("_size")))
         )
-        panel = cls(placed.withColumn(CORE, F.lit(True)), key, order, split=True)
-        placed = panel.forward_fill(fill).frame.drop("_bucket", "_before", CORE)
+        uncut = placed.withColumns({CORE: F.lit(True), FROM: F.lit(-FAR), UNTIL: F.lit(FAR)})
+        placed = cls(uncut, key, order, split=True).forward_fill(fill).frame.drop("_bucket", "_before", CORE, FROM, UNTIL)
 
         # a row is copied into the next segment if that reaches back to it, and likewise ahead
         start = F.col(SEGMENT) * F.col("_size")
@@ -126,7 +133,12 @@ class Panel:
             F.col(SEGMENT), F.when(behind, F.col(SEGMENT) + 1), F.when((F.col(SEGMENT) > 0) & (F.col(ROW) <= start + ahead), F.col(SEGMENT) - 1)
         )
         spread = placed.select("*", F.explode(F.array_compact(targets)).alias("_target"))
-        spread = spread.withColumn(CORE, F.col(SEGMENT) == F.col("_target")).drop(SEGMENT, "_size", "_total")
+        first = F.col("_target") * F.col("_size") - halo
+        spread = spread.withColumns({
+            CORE: F.col(SEGMENT) == F.col("_target"),
+            FROM: F.when(F.col("_target") == 0, F.lit(-FAR)).otherwise(first).cast("long"),
+            UNTIL: (first + F.col("_size")).cast("long"),
+        }).drop(SEGMENT, "_size", "_total")
         spread = spread.withColumnRenamed("_target", SEGMENT)
         return cls(_with_block(spread), key, order, split=True, halo=halo, ahead=ahead)
 
@@ -193,6 +205,18 @@ class Panel:
     # ---- frame changes ----------------------------------------------------------------
 
     def with_columns(self, columns: Mapping[str, Column]) -> "Panel":
+        if not self.split:
+            return self._add(columns)
+        looks = {n: _reach(c, self.reach) for n, c in columns.items()}
+        for name, (back, ahead) in looks.items():
+            if back > self.halo or ahead > self.ahead:
+                raise ValueError(
+                    f"{name} looks {back} rows back and {ahead} ahead over its chain of frames; "
+                    f"the panel has halo={self.halo}, ahead={self.ahead}"
+                )
+        return replace(self._add(columns), reach={**self.reach, **looks})
+
+    def _add(self, columns: Mapping[str, Column]) -> "Panel":
         return replace(self, frame=self.frame.withColumns(dict(columns)))
 
     def drop(self, *columns: str) -> "Panel":
@@ -201,14 +225,26 @@ class Panel:
     def result(self) -> DataFrame:
         """The plain frame: halo rows and helper columns removed."""
         frame = self.frame.filter(CORE) if self.split else self.frame
-        return frame.drop(ROW, BLOCK, SEGMENT, CORE)
+        return frame.drop(ROW, BLOCK, SEGMENT, CORE, FROM, UNTIL)
 
     # ---- running state ------------------------------------------------------------------
 
-    def own(self, c: str | Column) -> Column:
-        """The value on the segment's own rows, NULL on halo rows."""
+    # State is computed on all rows of a segment, copies included, so frames over it are right. It
+    # enters before the first copied row on which the input is right (`back` rows after the first),
+    # and a segment passes on the rows up to where it enters the next: each row counts once.
+
+    def looks(self, columns: Sequence[str]) -> tuple[int, int]:
+        known = [self.reach.get(c, (0, 0)) for c in columns] or [(0, 0)]
+        return max(b for b, _ in known), max(a for _, a in known)
+
+    def right(self, c: str | Column, back: int) -> Column:
+        """The value, NULL on the copied rows where an input that looks `back` rows is not right."""
         c = F.col(c) if isinstance(c, str) else c
-        return F.when(F.col(CORE), c) if self.split else c
+        return F.when(F.col(ROW) > F.col(FROM) + back, c) if self.split else c
+
+    def passed(self, c: Column, back: int) -> Column:
+        """The value on the rows that this segment passes on to the next."""
+        return F.when((F.col(ROW) > F.col(FROM) + back) & (F.col(ROW) <= F.col(UNTIL) + back), c)
 
     def carry(self, summaries: Mapping[str, Column], combine: Callable[[Column], Column]) -> "Panel":
         """Join, for each segment, `combine` of its predecessors' summaries.
@@ -226,36 +262,76 @@ class Panel:
         if not fill:
             return self
         if not self.split:
-            return self.with_columns({n: F.last(F.col(c), ignorenulls=True).over(self.so_far) for n, c in fill.items()})
+            return self._add({n: F.last(F.col(c), ignorenulls=True).over(self.so_far) for n, c in fill.items()})
+        looks = {n: self.looks([c]) for n, c in fill.items()}
         carried = self.carry(
             {
-                f"_c_{n}": F.max_by(F.col(c), F.when(F.col(c).isNotNull() & F.col(CORE), F.col(ROW)))
+                f"_c_{n}": F.max_by(F.col(c), self.passed(F.when(F.col(c).isNotNull(), F.col(ROW)), looks[n][0]))
                 for n, c in fill.items()
             },
             lambda x: F.last(x, ignorenulls=True),
         )
         filled = {
-            n: F.coalesce(F.last(self.own(c), ignorenulls=True).over(carried.so_far), F.col(f"_c_{n}"))
+            n: F.coalesce(F.last(self.right(c, looks[n][0]), ignorenulls=True).over(carried.so_far), F.col(f"_c_{n}"))
             for n, c in fill.items()
         }
-        return carried.with_columns(filled).drop(*[f"_c_{n}" for n in fill])
+        return replace(carried._add(filled).drop(*[f"_c_{n}" for n in fill]), reach={**self.reach, **looks})
 
     def running_sum(self, columns: Mapping[str, str]) -> "Panel":
         """new column -> sum from the start of the series; null rows stay null and are skipped."""
         if not self.split:
-            return self.with_columns(
+            return self._add(
                 {n: F.when(F.col(c).isNotNull(), F.sum(c).over(self.so_far)) for n, c in columns.items()}
             )
-        carried = self.carry({f"_c_{n}": F.sum(self.own(c)) for n, c in columns.items()}, lambda x: F.sum(x))
-        sums = {
-            n: F.when(
-                self.own(c).isNotNull(),
-                F.sum(self.own(c)).over(carried.so_far) + F.coalesce(F.col(f"_c_{n}"), F.lit(0.0)),
-            )
-            for n, c in columns.items()
-        }
-        return carried.with_columns(sums).drop(*[f"_c_{n}" for n in columns])
+        looks = {n: self.looks([c]) for n, c in columns.items()}
+        carried = self.carry(
+            {f"_c_{n}": F.sum(self.passed(F.col(c), looks[n][0])) for n, c in columns.items()}, lambda x: F.sum(x)
+        )
+        sums = {}
+        for n, c in columns.items():
+            value = self.right(c, looks[n][0])
+            total = F.sum(value).over(carried.so_far) + F.coalesce(F.col(f"_c_{n}"), F.lit(0.0))
+            sums[n] = F.when(value.isNotNull(), total)
+        return replace(carried._add(sums).drop(*[f"_c_{n}" for n in columns]), reach={**self.reach, **looks})
 
 
 def _with_block(frame: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     return frame.withColumn(BLOCK, F.floor((F.col(ROW) - 1) / F.lit(rows)).cast("long"))
+
+
+def _reach(column: Column, known: Mapping[str, tuple[int, int]]) -> tuple[int, int]:
+    """Rows (back, ahead) that an expression looks at, those of the columns it reads included."""
+    jvm = column._jc.node()  # the tree is read in one call, as JSON in prefix order
+    converter = getattr(SparkContext._jvm, "org.apache.spark.sql.classic.ColumnNodeToExpressionConverter$")
+    nodes = iter(json.loads(getattr(converter, "MODULE$").apply(jvm).toJSON()))
+
+    def tree() -> tuple[dict, list]:
+        node = next(nodes)
+        return node, [tree() for _ in range(node["num-children"])]
+
+    def kind(node: dict) -> str:
+        return node["class"].rsplit(".", 1)[-1]
+
+    def rows(part: tuple[dict, list]) -> int:
+        return int(part[0].get("value") or 0) if kind(part[0]) == "Literal" else 0
+
+    def look(part: tuple[dict, list]) -> tuple[int, int]:
+        node, children = part
+        if kind(node) == "UnresolvedAttribute":
+            name = node["nameParts"][1:-1]
+            return known.get(name) or known.get(name.split(", ")[0], (0, 0))
+        if kind(node) == "WindowExpression":
+            back, ahead = look(children[0])
+            function, arguments = children[0]
+            name = function.get("nameParts", "")[1:-1]
+            low = high = 0
+            if name in ("lag", "lead"):
+                high = rows(arguments[1]) * (1 if name == "lead" else -1)
+                low = high
+            elif kind(children[1][1][-1][0]) == "SpecifiedWindowFrame":
+                low, high = (rows(x) for x in children[1][1][-1][1])
+            return back + max(-low, 0), ahead + max(high, 0)
+        below = [look(x) for x in children] or [(0, 0)]
+        return max(b for b, _ in below), max(a for _, a in below)
+
+    return look(tree())
