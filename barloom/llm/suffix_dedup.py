@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.frames import arrow_map, batch_of, stored
-from barloom.llm.suffixes import GRAM, anchors, gram_hashes, repeats
+from barloom.llm.suffixes import GRAM, all_repeats, anchors, gram_hashes, repeats
 from barloom.llm.vocabulary import by_bytes
 from barloom.llm.words import mixed, text_bytes
 
@@ -140,6 +140,105 @@ def _groups(items: DataFrame, width: int) -> DataFrame:
     return arrow_map(items.repartition("h").sortWithinPartitions("h"), scan, "item bigint, start bigint, stop bigint, repeat_id bigint")
 
 
+def _string_id(data: bytes) -> int:
+    """The first 8 bytes of a string's SHA-256, as those of `text_key`."""
+    return int.from_bytes(hashlib.sha256(data).digest()[:8], "big", signed=True)
+
+
+def _long_contexts(texts: DataFrame, width: int, group: int) -> DataFrame:
+    """One row per shared anchor: hash, text, and the bytes in which its repeats lie.
+
+    They reach from the byte before the first window to the end of the run of shared anchors: the window
+    behind it occurs once, so no repeat goes on. `low` and `high` bound the bytes before the anchor.
+    Where an anchor has more than `group` occurrences, each window is its own anchor.
+    """
+    kinds = {"h": pa.int64(), "key": pa.binary(), "begin": pa.int64(), "item": pa.int64(), "offset": pa.int64(), "low": pa.int64(), "high": pa.int64(), "context": pa.binary()}
+
+    def starts(view: memoryview, h: int, at: int, first: int, last: int, seen: int) -> Iterator[tuple[int, int, int, int]]:
+        if seen <= group:
+            yield h, at, first, last
+        else:
+            for s in range(first, last + 1):
+                yield _digest(bytes(view[s : s + width])), s, s, s
+
+    def made(columns: dict[str, list]) -> pa.RecordBatch:
+        return batch_of(**{n: pa.array(x, kinds[n]) for n, x in columns.items()})
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: set[int] = set()
+            columns: dict[str, list] = {n: [] for n in kinds}
+            size = 0
+            for row in range(batch.num_rows):
+                view, key = memoryview(batch.column("text")[row].as_buffer()), batch.column("key")[row].as_py()
+                h, at, first, until, seen = (batch.column(c)[row].values.to_pylist() for c in ("h", "at", "first", "until", "seen"))
+                ends = list(until)
+                for k in range(len(ends) - 2, -1, -1):
+                    if until[k] - width + 1 == first[k + 1]:
+                        ends[k] = ends[k + 1]
+                for k in range(len(h)):
+                    for one, a, f, z in starts(view, h[k], at[k], first[k], until[k] - width, seen[k]):
+                        begin = max(f - 1, 0)
+                        context = bytes(view[begin : ends[k]])
+                        item = _digest(context + b"".join(x.to_bytes(8, "little", signed=True) for x in (one, a - begin, a - z, a - f)))
+                        new = item not in known
+                        known.add(item)
+                        size += len(context) if new else 0
+                        for name, value in zip(columns, (one, key, begin, item, a - begin, a - z, a - f, context if new else None), strict=True):
+                            columns[name].append(value)
+                        if size > 16 << 20 or len(columns["h"]) > 200_000:
+                            yield made(columns)
+                            columns, size = {n: [] for n in kinds}, 0
+                            known.clear()
+            if columns["h"]:
+                yield made(columns)
+
+    return arrow_map(texts, cut, "h bigint, key binary, begin bigint, item bigint, offset bigint, low bigint, high bigint, context binary")
+
+
+def _all_groups(items: DataFrame, width: int) -> DataFrame:
+    """Maximal repeats of the items of each anchor, one row for each item that holds it: item, start, stop (in its context) and repeat_id."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, list] = {n: [] for n in ("item", "start", "stop", "repeat_id")}
+
+        def out() -> pa.RecordBatch:
+            batch = batch_of(**{n: pa.array(x, pa.int64()) for n, x in found.items()})
+            for x in found.values():
+                x.clear()
+            return batch
+
+        def close(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+            def strings() -> Iterator[tuple[list[int], int, int]]:
+                for k, (_, n, offset, _, high, context) in enumerate(group):
+                    if n > 1 and offset == high and len(context) >= width:  # the same start of several texts
+                        yield [k], offset, len(context) - offset
+                if len(group) > 1:
+                    left, right = [x[5][: x[2]][::-1] for x in group], [x[5][x[2] :] for x in group]
+                    yield from all_repeats(left, right, [(x[3], x[4]) for x in group], width)
+
+            for held, l, r in strings():  # noqa: E741
+                _, _, offset, _, _, context = group[held[0]]
+                name = _string_id(context[offset - l : offset + r])
+                for k in held:
+                    for column, value in zip(found.values(), (group[k][0], group[k][2] - l, group[k][2] + r, name), strict=True):
+                        column.append(value)
+                if len(found["item"]) > 100_000:
+                    yield out()
+
+        current, group = None, []
+        for batch in batches:
+            for h, *item in zip(*(batch.column(c).to_pylist() for c in ("h", "item", "n", "offset", "low", "high", "context")), strict=True):
+                if h != current:
+                    yield from close(group)
+                    current, group = h, []
+                group.append(tuple(item))
+        yield from close(group)
+        yield out()
+
+    return arrow_map(items.repartition("h").sortWithinPartitions("h"), scan, "item bigint, start bigint, stop bigint, repeat_id bigint")
+
+
 def _windows(items: DataFrame, width: int) -> DataFrame:
     """The same spans for anchors that occur very often: windows are counted by a 64-bit hash instead of being sorted."""
 
@@ -172,8 +271,8 @@ def _windows(items: DataFrame, width: int) -> DataFrame:
     return arrow_map(starts, runs, "item bigint, start bigint, stop bigint, repeat_id bigint")
 
 
-def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(texts: id, key, n_bytes; classes: key, rep, copies; spans of the distinct texts: key, start, stop, repeat_id)."""
+def _anchored(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts: id, key, whole, n_bytes; classes: key, rep, copies; distinct texts with lists of their shared anchors)."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = stored(_anchor_rows(rows, width), "anchors")
     copies = F.count(F.lit(1)).alias("copies")
@@ -188,6 +287,12 @@ def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int
     by_text = by_text.select(F.col("key").alias("_key"), "rep", *[F.col(f"a.{c}").alias(c) for c in ("h", "at", "first", "until", "seen")])
     texts = rows.where(F.octet_length("text") >= width).withColumn("_key", text_key(F.col("text")))
     texts = texts.join(by_text, (texts["_key"] == by_text["_key"]) & texts["id"].eqNullSafe(by_text["rep"])).select(by_text["_key"].alias("key"), "text", "h", "at", "first", "until", "seen")
+    return found, classes, texts
+
+
+def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts: id, key, n_bytes; classes: key, rep, copies; spans of the distinct texts: key, start, stop, repeat_id)."""
+    found, classes, texts = _anchored(docs, width, id_col, text_col)
     contexts = stored(_contexts(texts.withColumn("text", F.col("text").cast("binary"))), "contexts")
     counts = contexts.groupBy("h", "item").agg(F.countDistinct("key", "first").alias("n"), F.max("offset").alias("offset"), F.max("seen").alias("seen"))
     bytes_of = contexts.where(F.col("context").isNotNull()).select("h", "item", "context")
@@ -199,16 +304,26 @@ def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int
 
 
 def maximal_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """Occurrences of repeated strings of at least `width` bytes: id, start, length and repeat_id of each.
+    """Every maximal repeat of at least `width` bytes with all its occurrences: id, start, length and repeat_id of each.
 
-    Equal repeat_id means equal bytes. Strings longer than the span of an anchor's windows appear as
-    overlapping pieces. Whole texts that are exact copies of each other appear with one repeat_id.
+    A maximal repeat occurs more than once, and its occurrences do not all have the same byte before or
+    behind them; the ends of a text equal nothing. Repeats inside longer ones are listed too. Equal
+    repeat_id means equal bytes. Occurrences of one anchor beyond `group` are dealt by whole windows.
     """
-    texts, classes, spans = _repeats(docs, width, id_col, text_col, group)
-    rows = texts.join(classes, "key")
-    copies = rows.where("copies > 1").select("id", F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("length"), F.xxhash64("key").alias("repeat_id"))
-    others = rows.where("copies = 1").join(spans, "key").select("id", "start", (F.col("stop") - F.col("start")).alias("length"), "repeat_id")
-    return copies.unionByName(others).withColumnRenamed("id", id_col)
+    found, classes, texts = _anchored(docs, width, id_col, text_col)
+    contexts = stored(_long_contexts(texts.withColumn("text", F.col("text").cast("binary")), width, group), "long-contexts")
+    places = contexts.groupBy("h", "item").agg(F.countDistinct("key", "begin").alias("n"))
+    # the item says all but its bytes, which stand in one row of a batch at least
+    parts = contexts.where(F.col("context").isNotNull()).dropDuplicates(["h", "item"]).drop("key", "begin")
+    spans = stored(_all_groups(parts.join(places, ["h", "item"]), width), "repeat-spans")
+    strings = contexts.select("key", "begin", "item").distinct().join(spans, "item")
+    strings = strings.select("key", (F.col("begin") + F.col("start")).alias("start"), (F.col("stop") - F.col("start")).alias("length"), "repeat_id")
+    whole = found.join(classes.where("copies > 1").select("key"), "key").select(
+        "key", F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("length"),
+        F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("bigint").alias("repeat_id"),
+    )
+    every = strings.unionByName(whole).distinct()
+    return found.select("id", "key").join(every, "key").drop("key").withColumnRenamed("id", id_col)
 
 
 def without_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:

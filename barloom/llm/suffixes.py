@@ -87,6 +87,47 @@ def common_prefix(a: bytes, b: bytes) -> int:
     return low
 
 
+def intervals(order: list[int], shared: list[int]) -> Iterator[tuple[int, list[list[int]]]]:
+    """(depth, the members of each child) of every node of the tree of sorted strings.
+
+    `shared` has the common prefix of each string with the next one.
+    """
+    stack: list[tuple[int, list[list[int]]]] = [(-1, [])]
+    for member, depth in zip(order, [*shared, -1], strict=True):
+        child = [member]
+        while stack[-1][0] > depth:
+            d, children = stack.pop()
+            children.append(child)
+            yield d, children
+            child = [x for c in children for x in c]
+        if stack[-1][0] == depth:
+            stack[-1][1].append(child)
+        else:
+            stack.append((depth, [child]))
+
+
+def all_repeats(left: list[bytes], right: list[bytes], bounds: list[tuple[int, int]], width: int) -> Iterator[tuple[list[int], int, int]]:
+    """(members, l, r): every maximal repeat of l bytes before and r bytes from an anchor, with all items that hold it.
+
+    A node of the tree of `right` has depth r; among its members, each node of the tree of `left` with
+    members of two children differs on both sides, so its string is maximal, and it has all holders of
+    it. l lies within `bounds` of an item: strings that start elsewhere belong to another anchor.
+    """
+    order = sorted(range(len(right)), key=right.__getitem__)
+    place = {item: k for k, item in enumerate(sorted(range(len(left)), key=left.__getitem__))}
+    furthest = max((high for _, high in bounds), default=0)
+    for r, children in intervals(order, [common_prefix(right[a], right[b]) for a, b in zip(order, order[1:])]):
+        if r + furthest < width:
+            continue
+        child_of = {item: k for k, c in enumerate(children) for item in c}
+        members = sorted(child_of, key=place.__getitem__)
+        for l, parts in intervals(members, [common_prefix(left[a], left[b]) for a, b in zip(members, members[1:])]):  # noqa: E741
+            held = [x for p in parts for x in p]
+            low, high = bounds[held[0]]
+            if l + r >= width and low <= l <= high and len({child_of[x] for x in held}) > 1:
+                yield held, l, r
+
+
 def repeats(left: list[bytes], right: list[bytes], width: int) -> Iterator[tuple[int, int, int]]:
     """(item, l, r): the l bytes before and r bytes from an anchor also stand at another item, l + r >= width.
 
