@@ -22,12 +22,16 @@ def payload_without_errors(spark, sf):
     return payload.fundamentals(found, dt.date(2024, 1, 4)).select("Ticker", "Market_Cap", "Trailing_PE")
 
 
+#: Tickers that one API call covers.
+TICKERS = 25
+
+
 def responses(spark, sf):
-    """The newest snapshot as landed API responses: per nation and module one object keyed by
+    """The newest snapshot as landed API responses: per range of tickers and module one object keyed by
     ticker, with an error text in place of the summary of some tickers."""
     newest = readers.latest_day(tables.fundamentals(spark, sf), "Extraction_Date")
     number = F.regexp_extract("Ticker", "([0-9]+)", 1).cast("bigint")
-    batch = (number % 25).alias("batch")
+    batch = F.floor(number / TICKERS).alias("batch")
     out = None
     for module in payload.MODULES:
         fields = [F.col(c).alias(field) for c, (m, field) in payload.FIELDS.items() if m == module]
