@@ -47,3 +47,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="barloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system that the library made."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
