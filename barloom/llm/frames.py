@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import barloom
-from barloom.session import shared_dir
+from barloom.session import remove, shared_dir
 
 #: Most bytes of rows that Spark hands to a Python worker at once.
 ARROW_BYTES = 8 << 20
@@ -20,11 +21,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that the running calls of `tidy` functions have made, innermost call last.
+_made: list[set[str]] = []
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """The rows written once to the shared folder and read again: short lineage that survives lost executors."""
+    """The rows written once to the shared folder and read again: short lineage that survives lost executors.
+
+    Inside a `tidy` function the folder goes when the function's result is written, or earlier by `drop_stored`.
+    """
     path = shared_dir(frame.sparkSession, purpose)
+    if _made:
+        _made[-1].add(path)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    out = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop_stored(*frames: DataFrame | None) -> None:
+    """Delete the folders of frames that `stored` or a `tidy` function gave to the running `tidy` function; they must not be read again."""
+    for frame in frames:
+        path = frame and vars(frame).get("stored_at")
+        if _made and path in _made[-1]:
+            remove(frame.sparkSession, path)
+            _made[-1].discard(path)
+
+
+def tidy(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The function's result is written to the shared folder; then every folder that `stored` made on the way is deleted."""
+
+    @functools.wraps(function)
+    def run(*args, **kwargs) -> DataFrame:
+        _made.append(set())
+        try:
+            frame = function(*args, **kwargs)
+            path = shared_dir(frame.sparkSession, function.__name__)
+            frame.write.parquet(path)
+        finally:
+            for folder in _made.pop():
+                remove(SparkSession.getActiveSession(), folder)
+        if _made:
+            _made[-1].add(path)
+        out = frame.sparkSession.read.schema(frame.schema).parquet(path)
+        out.stored_at = path
+        return out
+
+    return run
 
 
 def importable(spark: SparkSession) -> None:

@@ -19,6 +19,7 @@ from barloom.llm.quality import fit_quality, quality_scores
 from barloom.llm.suffix_dedup import without_repeats
 from barloom.llm.token_counts import token_counts
 from barloom.llm.token_files import read_token_files, write_token_files
+from barloom.llm.trie import conversation_trie, numbered_turns, rebuilt, trie_sql
 from barloom.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,7 +58,8 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents"), width=400).drop("kept", "key")
+    """With the text that remains."""
+    return without_repeats(table(spark, sf_dir, "documents"), width=400)
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,3 +102,14 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     model = fit_languages(docs.where(F.col("doc_id").isNotNull() & ~held_out), PIECES)
     return identify(docs, model, PIECES, keep={"held_out": held_out})
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations first take up to 8 turns of the conversation whose id is the next lower multiple of 5."""
+    turns = numbered_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    return conversation_trie(rebuilt(turns, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9, most=8))
+
+
+ORACLES["op11_conversation_trie"] = trie_sql(every=5, most=9)

@@ -10,14 +10,14 @@ give, for each, the bytes that its windows span. Equal contexts are one item wit
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.frames import arrow_map, batch_of, stored
+from barloom.llm.frames import arrow_map, batch_of, stored, tidy
 from barloom.llm.suffixes import GRAM, all_repeats, anchors, gram_hashes, repeats
 from barloom.llm.vocabulary import by_bytes
 from barloom.llm.words import mixed, text_bytes
@@ -290,9 +290,10 @@ def _anchored(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[
     return found, classes, texts
 
 
-def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(texts: id, key, n_bytes; classes: key, rep, copies; spans of the distinct texts: key, start, stop, repeat_id)."""
-    found, classes, texts = _anchored(docs, width, id_col, text_col)
+@tidy
+def _removed_spans(docs: DataFrame, width: int, id_col: str, text_col: str, group: int) -> DataFrame:
+    """What goes from the texts that lose bytes: key, gone (the whole text), starts and stops (sorted spans, may overlap)."""
+    _, classes, texts = _anchored(docs, width, id_col, text_col)
     contexts = stored(_contexts(texts.withColumn("text", F.col("text").cast("binary"))), "contexts")
     counts = contexts.groupBy("h", "item").agg(F.countDistinct("key", "first").alias("n"), F.max("offset").alias("offset"), F.max("seen").alias("seen"))
     bytes_of = contexts.where(F.col("context").isNotNull()).select("h", "item", "context")
@@ -300,9 +301,14 @@ def _repeats(docs: DataFrame, width: int, id_col: str, text_col: str, group: int
     spans = _groups(items.where(F.col("seen") <= group), width).unionByName(_windows(items.where(F.col("seen") > group), width))
     spans = stored(spans, "item-spans")
     where = contexts.select("key", "first", "item").distinct().join(spans, "item")
-    return found.select("id", "key", "whole", "n_bytes"), classes, where.select("key", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop")).alias("stop"), "repeat_id")
+    where = where.select("key", F.struct((F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop")).alias("stop")).alias("s"))
+    merged = where.groupBy("key").agg(F.array_sort(F.collect_set("s")).alias("s"))  # at most one text's spans
+    merged = merged.join(classes.where("copies = 1").select("key"), "key").select("key", F.lit(False).alias("gone"), F.col("s.start").alias("starts"), F.col("s.stop").alias("stops"))
+    nothing = F.lit(None).cast("array<bigint>")
+    return merged.unionByName(classes.where("copies > 1").select("key", F.lit(True).alias("gone"), nothing.alias("starts"), nothing.alias("stops")))
 
 
+@tidy
 def maximal_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
     """Every maximal repeat of at least `width` bytes with all its occurrences: id, start, length and repeat_id of each.
 
@@ -326,47 +332,49 @@ def maximal_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", t
     return found.select("id", "key").join(every, "key").drop("key").withColumnRenamed("id", id_col)
 
 
-def without_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """For every row: id, n_bytes, n_removed, n_spans, kept_sha256, key (of the whole text)
-    and kept (what remains as text, without parts of characters; null where nothing went).
+def without_repeats(
+    docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP, keep: Sequence[str] = ()
+) -> DataFrame:
+    """For every row: id, n_bytes, n_removed, n_spans, kept_sha256, the text that remains, and the columns `keep` of `docs`.
 
     A byte goes if some string of `width` bytes that covers it also starts elsewhere, in any row or
-    the same one, overlaps included. Texts shorter than `width` stay. Null counts as empty. Repeated
-    rows count as texts of their own; null ids are kept. Other columns are not read.
+    the same one, overlaps included. Texts shorter than `width` stay. Null counts as empty and stays
+    null. Repeated rows count as texts of their own; null ids are kept. Of a character cut in two, the
+    rest is left out of the text, but not of the digest. Other columns are not read.
+
+    Texts meet their spans in one join; a text that a large share of the rows repeats is one row
+    on its other side, so adaptive execution splits it.
     """
-    texts, classes, spans = _repeats(docs, width, id_col, text_col, group)
-    merged = spans.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("s"))  # at most one text's spans
-    merged = merged.join(classes.where("copies = 1"), "key").select(F.col("key").alias("_key"), "rep", F.col("s.start").alias("starts"), F.col("s.stop").alias("stops"))
-    merged = stored(merged, "text-spans")
-    empty = hashlib.sha256(b"").hexdigest()
-    partial = merged.select(F.col("_key").alias("key"), F.lit(True).alias("_partial"))
-    state = texts.join(classes.select("key", "copies"), "key", "left").join(partial, "key", "left")
-    gone = F.coalesce(F.col("copies") > 1, F.lit(False))
-    plain = state.where("_partial IS NULL").select(
-        "id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.lit(0)).cast("bigint").alias("n_removed"), gone.cast("bigint").alias("n_spans"),
-        F.when(gone, F.lit(empty)).otherwise(F.col("whole")).alias("kept_sha256"), "key", F.when(gone, F.lit("")).alias("kept"),
+    about = _removed_spans(docs, width, id_col, text_col, group)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text_key(text).alias("key"), text.alias("data"), F.col(text_col).cast("string").alias("text"), F.struct(F.lit(0), *keep).alias("kept"))
+    rows = rows.join(about, "key", "left")
+    gone, empty = F.coalesce("gone", F.lit(False)), F.lit(hashlib.sha256(b"").hexdigest())
+    size = F.octet_length("data").cast("bigint")
+    plain = rows.where("starts IS NULL").select(
+        "id", size.alias("n_bytes"), F.when(gone, size).otherwise(0).alias("n_removed"), gone.cast("bigint").alias("n_spans"),
+        F.when(gone, empty).otherwise(F.sha2("data", 256)).alias("kept_sha256"), F.when(gone, F.lit("")).otherwise(F.col("text")).alias("text"), "kept",
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.where(F.octet_length("text") >= width).withColumn("_key", text_key(F.col("text")))
-    cut = rows.join(merged, (rows["_key"] == merged["_key"]) & rows["id"].eqNullSafe(merged["rep"])).select("id", merged["_key"].alias("key"), F.col("text").cast("binary").alias("text"), "starts", "stops")
+    cut = rows.where("starts IS NOT NULL").select("id", F.col("data").cast("binary").alias("data"), "starts", "stops", "kept")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "text": pa.string()}
         for batch in batches:
-            columns: dict[str, list] = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "key", "kept")}
+            columns: dict[str, list] = {n: [] for n in kinds}
             for row in range(batch.num_rows):
-                data = memoryview(batch.column("text")[row].as_buffer())
-                kept, reach, runs = [], 0, 0
+                data = memoryview(batch.column("data")[row].as_buffer())
+                left, reach, runs = [], 0, 0
                 for start, stop in zip(batch.column("starts")[row].values.to_pylist(), batch.column("stops")[row].values.to_pylist(), strict=True):
                     if start > reach or not runs:
-                        kept.append(data[reach:start])
+                        left.append(data[reach:start])
                         runs += 1
                     reach = max(reach, stop)
-                rest = b"".join([*kept, data[reach:]])
-                for name, value in zip(columns, (len(data), len(data) - len(rest), runs, hashlib.sha256(rest).hexdigest(), batch.column("key")[row].as_py(), rest.decode("utf-8", "ignore")), strict=True):
+                rest = b"".join([*left, data[reach:]])
+                for name, value in zip(columns, (len(data), len(data) - len(rest), runs, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")), strict=True):
                     columns[name].append(value)
-            kinds = {"kept_sha256": pa.string(), "key": pa.binary(), "kept": pa.string()}
-            yield batch_of(id=batch.column("id"), **{n: pa.array(x, kinds.get(n, pa.int64())) for n, x in columns.items()})
+            yield batch_of(id=batch.column("id"), **{n: pa.array(x, kinds[n]) for n, x in columns.items()}, kept=batch.column("kept"))
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    changed = arrow_map(cut, remove, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, key binary, kept string")
-    return plain.unionByName(changed).withColumnRenamed("id", id_col)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    changed = arrow_map(cut, remove, f"id {kinds['id']}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string, kept {kinds['kept']}")
+    out = plain.unionByName(changed)
+    return out.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("text").alias(text_col), *[F.col(f"kept.`{c}`").alias(c) for c in keep])
