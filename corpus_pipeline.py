@@ -16,7 +16,7 @@ from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.packing import pack, token_pieces
 from barloom.llm.quality import fit_quality, kept_by_quality
 from barloom.llm.queries import WORD_TOKENIZER, rated
-from barloom.llm.suffix_dedup import text_key, without_repeats
+from barloom.llm.suffix_dedup import without_repeats
 
 #: Shortest repeated passage that is removed, in bytes (about 40 words).
 REPEAT_BYTES = 200
@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    groups = stored(jaccard_components(docs, n=5, percent=75), "groups")
+    groups = jaccard_components(docs, n=5, percent=75)
     first = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
     if not first.where("rows > 1").isEmpty():  # rows that repeat an id
@@ -39,14 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that also stand elsewhere."""
-    changed = without_repeats(docs, width=REPEAT_BYTES).where("kept IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "kept")
-    changed = stored(changed.dropDuplicates(["_id", "_key"]), "changed")
-    key = text_key(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.join(changed, docs["doc_id"].eqNullSafe(changed["_id"]) & (key == changed["_key"]), "left")
-    new = {"text": F.coalesce("kept", "text")}
+    rows = without_repeats(docs, width=REPEAT_BYTES, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("kept").isNotNull(), F.length("kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return rows.withColumns(new).select(docs.columns)
+        rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
