@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.decontaminate import benchmark_copies
 from barloom.llm.frames import table
+from barloom.llm.hard_negatives import hard_negatives, negatives_sql
 from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.language import fit_languages, identify
 from barloom.llm.licenses import license_scan, license_sql
@@ -113,3 +114,13 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_conversation_trie"] = trie_sql(every=5, most=9)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row's label is wrong by one, as the task asks."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, positives=5, negatives=5, share=(80, 100), scale=256, label=label)
+
+
+ORACLES["op13_hard_negatives"] = negatives_sql()
