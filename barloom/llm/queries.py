@@ -17,6 +17,7 @@ from barloom.llm.licenses import license_scan, license_sql
 from barloom.llm.neighbours import nearest
 from barloom.llm.packing import pack, token_pieces
 from barloom.llm.quality import fit_quality, quality_scores
+from barloom.llm.style_tree import extract_text
 from barloom.llm.suffix_dedup import without_repeats
 from barloom.llm.token_counts import token_counts
 from barloom.llm.token_files import read_token_files, write_token_files
@@ -124,3 +125,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_hard_negatives"] = negatives_sql()
+
+
+@query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
