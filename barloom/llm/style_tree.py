@@ -33,6 +33,8 @@ from barloom.llm.frames import arrow_map, batch_of, stored, tidy
 
 #: Branches below it go; weight of a child sequence; a node is judged on so many pages at least, and on this share of its host's.
 LEAST, GAMMA, PAGES, SHARE = 0.6, 0.9, 8, 0.01
+#: Most low nodes of all hosts that are sent to every task; more meet the pages by a shuffle, in groups of so many pages of a host.
+SENT_NODES, GROUP_PAGES = 500_000, 100_000
 #: Levels of the style tree below the root; deeper elements count as part of their ancestor there.
 LEVELS = 24
 
@@ -274,16 +276,23 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one. Null
     pages are empty texts; null and repeated ids and addresses stay as they are; a page of any length is parsed whole;
     other columns are not read. A host's list of low paths holds nodes on at least `pages_least` pages and on a
-    hundredth of its host's pages, hence at most a hundred times the elements of its mean page. The lists meet the pages
-    in one join; pages move for it only if the lists of all hosts are too large to be sent (Spark decides by their size).
+    hundredth of its host's pages, hence at most a hundred times the elements of its mean page. Pages stay where they are
+    if the lists of all hosts together hold at most SENT_NODES nodes; else lists are copied to salted groups of a host's pages.
     """
     host, total = host_of(F.col(url_col)), pages.count()
     low = stored(style_importance(pages, url_col, html_col).where((F.col("importance") < least) & (F.col("pages") >= pages_least)), "low-nodes")
     everywhere = {r["path"] for r in low.where(F.col("host").isNull() & (F.col("pages") >= SHARE * total)).select("path").collect()}  # bounded as above
     sizes = pages.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("all_pages"))
-    lists = low.join(sizes, "host").where(F.col("pages") >= SHARE * F.col("all_pages")).groupBy("host").agg(F.collect_set("path").alias("low"))
+    chosen = stored(low.join(sizes, "host").where(F.col("pages") >= SHARE * F.col("all_pages")).select("host", "path", "all_pages"), "low-of-hosts")
+    lists = chosen.groupBy("host").agg(F.collect_set("path").alias("low"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"), host.alias("host"))
-    rows = rows.join(lists, "host", "left").drop("host")
+    if chosen.count() <= SENT_NODES:
+        rows = rows.join(F.broadcast(lists), "host", "left")
+    else:
+        salts = -(-chosen.agg(F.max("all_pages")).first()[0] // GROUP_PAGES)
+        lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("url", "id", "html"), F.lit(salts))).join(lists, ["host", "salt"], "left").drop("salt")
+    rows = rows.drop("host")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,6 +8,7 @@ from collections import Counter
 
 import pytest
 
+from barloom.llm import style_tree
 from barloom.llm.frames import table
 from barloom.llm.style_tree import extract_text, main_text, parsed, style_importance
 
@@ -52,7 +53,7 @@ def test_given_pages(spark, sf):
     assert len(got) == len(rows)
 
 
-def test_unmarked_template_branches(spark):
+def test_unmarked_template_branches(spark, monkeypatch):
     """No mark tells the template's branches; they repeat on a host, or rotate through all hosts."""
     pick = random.Random(4)
     adverts = [words(pick, 8) for _ in range(12)]
@@ -68,8 +69,10 @@ def test_unmarked_template_branches(spark):
             rows.append((len(rows), f"http://www.{host}/{k}", f"<body>{page}</div><div class=b><em>{pick.choice(adverts)}</em></div>", "", 1, ""))
             want[rows[-1][0]] = " ".join([title, *body])
     frame = spark.createDataFrame(rows, SCHEMA)
-    got = {r["page_id"]: r["text"] for r in extract_text(frame).collect()}
-    assert got == want
+    for sent in (style_tree.SENT_NODES, 0):  # the lists sent to every task, or joined in salted groups
+        monkeypatch.setattr(style_tree, "SENT_NODES", sent)
+        monkeypatch.setattr(style_tree, "GROUP_PAGES", 70)
+        assert {r["page_id"]: r["text"] for r in extract_text(frame).collect()} == want
 
 
 def test_importance(spark):
