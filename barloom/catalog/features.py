@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from barloom.catalog.panel import KEYS, W, frame, roll
 from barloom.catalog.tables import stored
 from barloom.catalog.registry import over, query, rnd, rounded, view
+from barloom.operators import state as running
 from barloom.operators.ewm import span_alpha
 from barloom.operators.features import (
     RESEARCH_FEATURES, SERVING_FEATURES, feature_frame, index, levels, momentum, price, trend, volatility, volume,
 )
 from barloom.operators.label import split_by_day, with_target
 from barloom.operators.panel import Panel
+from barloom.session import shared_dir
 from barloom.sources import tables
 
 # Running lines grow with volume, so they are compared at fewer digits.
@@ -315,3 +319,35 @@ def training_rows(spark, sf):
     from barloom.catalog.learning import training_frame
 
     return rounded(training_frame(spark, sf), **COARSE)
+
+
+# ---- features from a stored state ------------------------------------------------------------
+
+# running lines, exponential means (one of them of another), long frames and chains, index columns
+RESUMED = (
+    "obv", "vpt", "adl", "dist_ema_10", "crossover_ema_5_20", "atr_pct", "rsi_14", "macd_signal", "crossover_sma_50_200",
+    "sma20_slope_5d", "beta_60d", "mkt_above_sma200", "mkt_vol_20d",
+)
+
+
+@query("Q-05 M-07 S-08 W-13 W-15 W-16", assembled_sql(
+    RESUMED, "f_relative_filled", where="WHERE s.Date >= (SELECT MIN(Date) FROM (SELECT DISTINCT Date FROM bars ORDER BY Date DESC LIMIT 30))"))
+def resumed_features(spark, sf):
+    """The last 30 days' features, delivered in two parts behind a state of the history before."""
+    bars, market = _bars(spark, sf)
+    days = [r["Date"] for r in bars.select("Date").distinct().orderBy(F.desc("Date")).limit(30).collect()][::-1]
+    path, out = shared_dir(spark, "feature-state"), None
+    parts = [(None, days[0]), (days[0], days[1]), (days[1], None)]
+    for first, behind in parts:
+        span = [f for f in (bars, market)]
+        if first:
+            span = [f.filter(F.col("Date") >= F.lit(first)) for f in span]
+        if behind:
+            span = [f.filter(F.col("Date") < F.lit(behind)) for f in span]
+        before = running.load_state(spark, path, first) if first else None
+        rows, after = running.advance(*span, RESUMED, before, fill_market=True)
+        if behind:
+            running.save_state(after, path, behind - dt.timedelta(days=1))
+        if first:
+            out = rows if out is None else out.unionByName(rows)
+    return rounded(out.select(*KEYS, *RESUMED), **COARSE)

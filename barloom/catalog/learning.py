@@ -12,11 +12,13 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.catalog.registry import over, query, rounded
+from barloom.catalog import features as _features  # noqa: F401  (its statements are used below)
+from barloom.catalog.registry import ORACLES, over, query, rounded
 from barloom.catalog.tables import stored
-from barloom.learning import evaluation, model, research
+from barloom.learning import evaluation, extra_trees, model, research
 from barloom.operators import label
 from barloom.operators.features import RESEARCH_FEATURES, SERVING_FEATURES, feature_frame, features, panel_of_bars
+from barloom.operators.profile import repeatable_sample
 from barloom.session import shared_dir
 from barloom.sources import tables
 
@@ -147,3 +149,85 @@ SELECT class, ROUND(precision_, 6) AS "precision", ROUND(recall_, 6) AS recall,
   UNION ALL SELECT 'weighted avg', (p0 * n0 + p1 * n1) / n, (r0 * n0 + r1 * n1) / n, (f0 * n0 + f1 * n1) / n, n FROM f)""")
 def classification_report(spark, sf):
     return rounded(evaluation.report(evaluation.confusion(_judged(spark, sf))))
+
+
+# ---- extremely randomised trees ------------------------------------------------------------------
+# The other engine cannot draw the thresholds. It tells the counts that every tree must add up to, and that nothing departs
+# from the rules and from a plain walk over the stored nodes.
+
+_TRAINING = f"(SELECT COUNT(*) AS n, SUM(target) AS ones FROM ({ORACLES['training_rows']}))"
+
+
+def _forest(spark, sf, setting) -> extra_trees.Forest:
+    return extra_trees.grow(stored(spark, sf, "training"), SERVING_FEATURES, [setting])[0]
+
+
+@query("M-02 M-05 M-07 S-11 K-07 J-05", f"""
+SELECT CAST(t.range AS INTEGER) AS tree, n AS n_rows, CAST(ones AS BIGINT) AS n_ones, 0::BIGINT AS wrong_counts, 0::BIGINT AS broken_limits, 0::BIGINT AS differing_rows
+FROM range(100) t, {_TRAINING}""")
+def extra_trees_nodes(spark, sf):
+    """The deployed model, stored and loaded: per tree its rows, nodes with other counts than a walk by SQL finds, nodes beyond a
+    limit, and rows whose prediction differs from the walk."""
+    rows = stored(spark, sf, "training")
+    path = shared_dir(spark, "extra-trees")
+    extra_trees.save(_forest(spark, sf, extra_trees.FINAL), path, spark)
+    forest = extra_trees.load(spark, path)
+    nodes = spark.read.parquet(f"{path}/nodes")
+    scored = extra_trees.predict(forest, rows).select("target", "Probability", F.array(*[extra_trees.leaf(forest, k) for k in range(len(forest.trees))]).alias("leaves"))
+    walked = scored.select("target", F.posexplode("leaves").alias("tree", "node")).groupBy("tree", "node")
+    walked = walked.agg(F.count_if(F.col("target") == 0).alias("m0"), F.count_if(F.col("target") == 1).alias("m1"))
+    both = nodes.join(walked, ["tree", "node"], "left")
+    leaf, size = F.col("feature") < 0, F.col("n0") + F.col("n1")
+    wrong = leaf & ((F.coalesce("m0", F.lit(0)) != F.col("n0")) | (F.coalesce("m1", F.lit(0)) != F.col("n1")))
+    broken = (F.col("depth") > 3) | (size < 5) | (~leaf & (size < 20))
+    # one sum of looked-up leaf values per row
+    values = F.array(*[F.array(*[F.lit(float(p)) for p in forest.values(t)]) for t in forest.trees])
+    walk = F.aggregate(F.transform("leaves", lambda v, t: F.get(F.get(values, t), v)), F.lit(0.0), lambda a, x: a + x) / len(forest.trees)
+    differing = scored.agg(F.count_if(F.abs(walk - F.col("Probability")) > 1e-12).alias("differing_rows")).scalar()
+    return both.groupBy("tree").agg(
+        F.sum(F.when(leaf, size)).alias("n_rows"), F.sum(F.when(leaf, F.col("n1"))).alias("n_ones"), F.count_if(wrong).alias("wrong_counts"), F.count_if(broken).alias("broken_limits"),
+    ).withColumn("differing_rows", differing)
+
+
+@query("M-03", f"""
+SELECT CAST(t.range AS INTEGER) AS tree, n AS n_rows, 0::BIGINT AS leaves_over_limit, 0::BIGINT AS out_of_order FROM range(100) t, {_TRAINING}""")
+def best_first_trees(spark, sf):
+    """The candidate model with at most 30 leaves: per tree its rows, leaves too many, and splits made while a better one was open."""
+    nodes = extra_trees.nodes_frame(spark, _forest(spark, sf, extra_trees.CANDIDATE))
+    leaf = F.col("feature") < 0
+    made = nodes.where(~leaf).select("tree", F.col("split_at").alias("at"), F.col("gain").alias("taken"))
+    until = F.when(leaf, 2**31 - 1).otherwise(F.col("split_at"))
+    other = nodes.select("tree", "opened", until.alias("until"), F.col("best_gain").alias("own")).where("own IS NOT NULL")
+    bad = made.join(other, "tree").where("opened <= at AND at < until AND taken < own - 1e-15").groupBy("tree").agg(F.count(F.lit(1)).alias("bad"))
+    sums = nodes.groupBy("tree").agg(F.sum(F.when(leaf, F.col("n0") + F.col("n1"))).alias("n_rows"), F.count_if(leaf).alias("leaves"))
+    return sums.join(bad, "tree", "left").select("tree", "n_rows", F.greatest(F.col("leaves") - 30, F.lit(0)).cast("bigint").alias("leaves_over_limit"), F.coalesce("bad", F.lit(0).cast("bigint")).alias("out_of_order"))
+
+
+@query("M-02 M-06 A-16")
+def extra_trees_report(spark, sf):
+    """The deployed model fitted before the split day; reports on both periods."""
+    train, test = periods(spark, sf)
+    forest = extra_trees.grow(train, SERVING_FEATURES, [extra_trees.FINAL])[0]
+    out = None
+    for name, frame in (("train", train), ("test", test)):
+        one = evaluation.report(evaluation.confusion(extra_trees.predict(forest, frame))).select(F.lit(name).alias("period"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("M-09 A-17", f"SELECT LEAST(n, 500) AS n_rows, 0::BIGINT AS rows_that_do_not_add_up FROM {_TRAINING}")
+def contributions_add_up(spark, sf):
+    """Exact contributions of the row sample: base and contributions must give the predicted probability."""
+    forest = _forest(spark, sf, extra_trees.FINAL)
+    rows = repeatable_sample(stored(spark, sf, "training"), research.SAMPLE_ROWS, research.SAMPLE_SEED, "Ticker", "Date")
+    each = extra_trees.contributions(forest, extra_trees.predict(forest, rows))
+    total = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    return each.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~(F.abs(total - F.col("Probability")) <= 1e-9)).alias("rows_that_do_not_add_up"))
+
+
+@query("M-09 A-17 M-13 M-14")
+def exact_contributions(spark, sf):
+    """Mean absolute contribution of every feature on the row sample, best first."""
+    train, _ = periods(spark, sf)
+    forest = extra_trees.grow(train, SERVING_FEATURES, [extra_trees.CANDIDATE])[0]
+    return extra_trees.mean_contributions(forest, repeatable_sample(train, research.SAMPLE_ROWS, research.SAMPLE_SEED, "Ticker", "Date"))

@@ -19,13 +19,13 @@ import math
 from dataclasses import replace
 from typing import Mapping
 
-import pandas as pd
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.panel import BLOCK, BLOCK_ROWS, ROW, SEGMENT, UNTIL, Panel
 
 MIN_FACTOR = 1e-40
+RUN = 128  # segments whose states are chained in one list
 MAX_DECAY = math.log(1e240)  # natural log of the decay one block may build up
 
 
@@ -49,7 +49,7 @@ def ewm_mean(panel: Panel, means: Mapping[str, tuple[str, float]]) -> Panel:
 
     # 1. rows since the last valid value, per input column
     if panel.split:
-        panel = panel.carry({f"_seen_{c}": F.max(panel.passed(F.when(valid[c].isNotNull(), F.col(ROW)), back)) for c in inputs}, F.max)
+        panel = panel.carry({f"_seen_{c}": F.max(panel.passed(F.when(valid[c].isNotNull(), F.col(ROW)), back)) for c in inputs}, "max")
     seen = {c: F.max(F.when(valid[c].isNotNull(), F.col(ROW))).over(panel.before) for c in inputs}
     if panel.split:
         seen = {c: F.coalesce(e, F.col(f"_seen_{c}")) for c, e in seen.items()}
@@ -101,7 +101,8 @@ def ewm_mean(panel: Panel, means: Mapping[str, tuple[str, float]]) -> Panel:
         known = F.col(f"_gap_{c}").isNotNull() | valid[c].isNotNull()
         values[name] = F.when(known, F.col(f"_l_{name}") + entering[name] * F.col(f"_p_{name}"))
     reach = {**panel.reach, **{n: (back, ahead) for n in means}} if panel.split else panel.reach
-    return replace(panel, frame=panel.frame.withColumns(values).select(*keep, *means), reach=reach)
+    out = [f"_out_{n}" for n in panel.leaving if f"_out_{n}" not in keep]
+    return replace(panel, frame=panel.frame.withColumns(values).select(*keep, *means, *out), reach=reach)
 
 
 def _step(x: Column, gap: Column, alpha: float) -> tuple[Column, Column]:
@@ -128,6 +129,14 @@ def _decay(ends: Column, name: str) -> Column:
 def _segment_starts(panel: Panel, names: list[str], block: str, back: int) -> Panel:
     """Join the state entering each segment (columns `_k_*`)."""
     state = F.struct(*[F.col(f"_{part}_{n}").alias(f"_{part}_{n}") for n in names for part in ("p", "l")])
+    if panel.resuming:
+        counts = F.when(F.col(ROW) <= F.col(UNTIL) + back, F.col(ROW))
+        in_block, whole = Window.partitionBy(*panel.group, block), Window.partitionBy(*panel.group)
+        panel = panel._add({"_last": F.max(counts).over(in_block)})
+        end = F.when(F.col(ROW) == F.col("_last"), F.struct(F.col(block).alias("b"), *[F.col(f"_{part}_{n}") for n in names for part in ("p", "l")]))
+        panel = panel._add({"_passed": F.sort_array(F.collect_list(end).over(whole))})
+        entering = {f"_k_{n}": F.coalesce(panel.state_in(f"_k_{n}").cast("double"), F.lit(0.0)) for n in names}
+        return panel.with_state(entering, {f"_k_{n}": _fold(F.col("_passed"), n, entering[f"_k_{n}"]) for n in names})
     passed = panel.frame.filter(F.col(ROW) <= F.col(UNTIL) + back)
     ends = passed.groupBy(*panel.group, block).agg(F.max_by(state, F.col(ROW)).alias("e"))
     fields = [F.col(f"e._{part}_{n}").alias(f"_{part}_{n}") for n in names for part in ("p", "l")]
@@ -140,22 +149,23 @@ def _segment_starts(panel: Panel, names: list[str], block: str, back: int) -> Pa
         *[_decay(F.col("ends"), n).alias(f"_p_{n}") for n in names],
     )
 
-    key = panel.key
-
-    def scan(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values(SEGMENT)
-        out = table[[key, SEGMENT]].copy()
-        for n in names:
-            y, entering = 0.0, []
-            for p, l in zip(table[f"_p_{n}"].to_numpy(), table[f"_l_{n}"].to_numpy()):
-                entering.append(y)
-                y = l + p * y
-            out[f"_k_{n}"] = entering
-        return out
-
-    key_type = panel.frame.schema[panel.key].dataType.simpleString()
-    segment_type = panel.frame.schema[SEGMENT].dataType.simpleString()
-    schema = f"`{panel.key}` {key_type}, {SEGMENT} {segment_type}, " + ", ".join(f"_k_{n} double" for n in names)
-    # One short row per segment (about 65,000 rows each), even when one key holds most rows.
-    starts = totals.groupBy(panel.key).applyInPandas(scan, schema)
-    return replace(panel, frame=panel.frame.join(starts, panel.group, "left"))
+    return replace(panel, frame=panel.frame.join(_chained(totals, panel.key, names), panel.group, "left"))
+
+
+def _chained(totals: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """The mean that enters each segment (columns `_k_*`), from the segments' factors and offsets.
+
+    In two levels: segments of a run of RUN are folded over those before them in the run, runs over the runs before. A
+    list holds at most RUN segments, or the runs of one key.
+    """
+    parts = [f"_{part}_{n}" for n in names for part in ("p", "l")]
+    runs = totals.withColumn("_run", F.floor(F.col(SEGMENT) / F.lit(RUN)))
+    in_run = Window.partitionBy(key, "_run").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    inner = runs.withColumn("_before", F.collect_list(F.struct(*parts)).over(in_run))
+    inner = inner.select(key, "_run", SEGMENT, *[_fold(F.col("_before"), n, F.lit(0.0)).alias(f"_i_{n}") for n in names], *[_decay(F.col("_before"), n).alias(f"_j_{n}") for n in names])
+    whole = runs.groupBy(key, "_run").agg(F.sort_array(F.collect_list(F.struct(SEGMENT, *parts))).alias("_all"))
+    whole = whole.select(key, "_run", *[_fold(F.col("_all"), n, F.lit(0.0)).alias(f"_l_{n}") for n in names], *[_decay(F.col("_all"), n).alias(f"_p_{n}") for n in names])
+    over_runs = Window.partitionBy(key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    outer = whole.withColumn("_before", F.collect_list(F.struct(*parts)).over(over_runs))
+    outer = outer.select(key, "_run", *[_fold(F.col("_before"), n, F.lit(0.0)).alias(f"_o_{n}") for n in names])
+    return inner.join(outer, [key, "_run"]).select(key, SEGMENT, *[(F.col(f"_i_{n}") + F.col(f"_j_{n}") * F.col(f"_o_{n}")).alias(f"_k_{n}") for n in names])

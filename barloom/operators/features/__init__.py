@@ -96,7 +96,8 @@ def features(panel: Panel, names: Iterable[str]) -> Panel:
             if set(outputs) & set(names):
                 columns |= family(w)
         panel = w.apply(columns)
-    return replace(panel, frame=panel.frame.select(*base, *names))
+    out = [f"_out_{n}" for n in panel.leaving if f"_out_{n}" not in base]
+    return replace(panel, frame=panel.frame.select(*base, *names, *out))
 
 
 def feature_frame(bars: DataFrame, market: DataFrame | None, names: Iterable[str], fill_market: bool = False) -> DataFrame:

@@ -15,6 +15,7 @@ INDEX_RETURN_ROWS = (1, 5, 20)
 INDEX_AVERAGES = (50, 200)
 INDEX_SPREAD_ROWS = 20
 BETA_ROWS = 60
+INDEX_KEY, INDEX_FILL = "_index", {"_level": "DJIA_Close"}
 
 INDEX_OUTPUTS = ("mkt_return_1d", "mkt_return_5d", "mkt_return_20d", "mkt_above_sma200", "mkt_vol_20d")
 OUTPUTS = INDEX_OUTPUTS + ("beta_60d", "alpha_60d", "rs_vs_mkt_20d")
@@ -22,27 +23,30 @@ OUTPUTS = INDEX_OUTPUTS + ("beta_60d", "alpha_60d", "rs_vs_mkt_20d")
 SERVING_FILL = {c: c for c in ("mkt_above_sma200", "mkt_vol_20d", "mkt_return_1d")}
 
 
+def index_series(market: DataFrame, close: str = "DJIA_Close") -> DataFrame:
+    """The index as a series: repeated dates collapsed, with a key so that its windows are panel windows."""
+    return one_per_key(market.select("Date", close), "Date").withColumn(INDEX_KEY, F.lit(close))
+
+
 def index_features(market: DataFrame, close: str = "DJIA_Close") -> DataFrame:
-    """One row per date: the index' own returns, averages, regime and spread.
+    """One row per date: the index' own returns, averages, regime and spread (cut into segments when it is not daily)."""
+    return index_panel(Panel.of(index_series(market, close), key=INDEX_KEY, fill=INDEX_FILL), close).result().select("Date", *INDEX_OUTPUTS, *[f"mkt_sma{n}" for n in INDEX_AVERAGES])
 
-    Repeated dates are collapsed first. The series gets a key so that its windows are panel
-    windows like any other (and are cut into segments when it is not daily).
-    """
-    unique = one_per_key(market.select("Date", close), "Date").withColumn("_index", F.lit(close))
-    panel = Panel.of(unique, key="_index", fill={"_level": close})
+
+def index_panel(panel: Panel, close: str = "DJIA_Close") -> Panel:
+    """The index features on a panel of `index_series`, built with the fill `INDEX_FILL`."""
     w = Frames(panel)
     panel = w.apply(
         {f"mkt_return_{k}d": w.change("_level", k) for k in INDEX_RETURN_ROWS}
         | {f"mkt_sma{n}": w.mean(close, n) for n in INDEX_AVERAGES}
     )
     w = Frames(panel)
-    panel = w.apply(
+    return w.apply(
         {
             "mkt_above_sma200": flag(F.col(close) > F.col("mkt_sma200")),
             "mkt_vol_20d": w.rolling("stddev_samp", "mkt_return_1d", INDEX_SPREAD_ROWS),
         }
     )
-    return panel.result().select("Date", *INDEX_OUTPUTS, *[f"mkt_sma{n}" for n in INDEX_AVERAGES])
 
 
 def relative_to_index(w: Frames) -> dict[str, Column]:

@@ -50,6 +50,10 @@ class Panel:
     ahead: int = 0
     # derived column -> rows it looks (back, ahead), summed over the chain of frames it comes from
     reach: Mapping[str, tuple[int, int]] = field(default_factory=dict)
+    # a resumed panel: names of running values of the rows before it (columns `_in_*`) and after it (`_out_*`)
+    resuming: bool = False
+    entering: tuple[str, ...] = ()
+    leaving: tuple[str, ...] = ()
 
     # ---- construction -------------------------------------------------------------
 
@@ -142,11 +146,48 @@ class Panel:
         spread = spread.withColumnRenamed("_target", SEGMENT)
         return cls(_with_block(spread), key, order, split=True, halo=halo, ahead=ahead)
 
+    @classmethod
+    def resumed(
+        cls, frame: DataFrame, state: DataFrame | None, key: str = "Ticker", order: str = "Date", fill: Mapping[str, str] | None = None, halo: int = 256
+    ) -> "Panel":
+        """A panel of new rows behind a stored state (see `operators.state`), or of a first history without one.
+
+        It is one segment of a split panel: the state's last rows are its halo, and the running state of all rows before
+        enters it. Only for a DATE order with unique (key, date), as in a calendar panel: one group holds the new rows of one key
+        and `halo` stored ones.
+        """
+        if not isinstance(frame.schema[order].dataType, T.DateType):
+            raise ValueError("a resumed panel needs a DATE order")
+        series = Window.partitionBy(key).orderBy(order)
+        numbered = frame.withColumns({ROW: F.row_number().over(series).cast("long"), CORE: F.lit(True)})
+        names: tuple[str, ...] = ()
+        if state is None:
+            rows = numbered.withColumn("_known", F.lit(0).cast("long"))
+        else:
+            names = tuple(c for c in state.columns if c not in (key, "rows", "last", "tail"))
+            # one row per key on the other side: all that a delivery needs of the state in one join
+            delivered = numbered.groupBy(key).agg(F.collect_list(F.struct(ROW, CORE, *[c for c in frame.columns if c != key])).alias("_new"))
+            both = delivered.join(state, key, "left")
+            known = F.coalesce("rows", F.lit(0).cast("long"))
+            fields = [ROW, CORE, *[c for c in frame.columns if c != key]]
+            old = F.transform("tail", lambda t: F.struct(*[F.lit(False).alias(CORE) if c == CORE else t[c].alias(c) for c in fields]))
+            new = F.transform("_new", lambda t: F.struct(*[(known + t[c]).alias(c) if c == ROW else t[c].alias(c) for c in fields]))
+            every = F.concat(F.coalesce(old, F.filter(new, lambda _: F.lit(False))), new)
+            rows = both.select(key, known.alias("_known"), *[F.col(n).alias(f"_in_{n}") for n in names], F.explode(every).alias("_r"))
+            rows = rows.select(key, "_known", *[f"_in_{n}" for n in names], "_r.*")
+        rows = rows.withColumns({
+            SEGMENT: F.lit(1).cast("long"),
+            FROM: F.when(F.col("_known") == 0, F.lit(-FAR)).otherwise(F.col("_known") - halo).cast("long"),
+            UNTIL: F.max(ROW).over(Window.partitionBy(key)) - halo,
+        }).drop("_known")
+        panel = cls(_with_block(rows), key, (order,), split=True, halo=halo, resuming=True, entering=names)
+        return panel.forward_fill(dict(fill or {}))
+
     # ---- windows ------------------------------------------------------------------
 
     @property
     def group(self) -> list[str]:
-        return [self.key, SEGMENT] if self.split else [self.key]
+        return [self.key, SEGMENT] if self.split and not self.resuming else [self.key]
 
     @cached_property
     def series(self) -> WindowSpec:
@@ -225,7 +266,7 @@ class Panel:
     def result(self) -> DataFrame:
         """The plain frame: halo rows and helper columns removed."""
         frame = self.frame.filter(CORE) if self.split else self.frame
-        return frame.drop(ROW, BLOCK, SEGMENT, CORE, FROM, UNTIL)
+        return frame.drop(ROW, BLOCK, SEGMENT, CORE, FROM, UNTIL, *[f"_in_{n}" for n in self.entering], *[f"_out_{n}" for n in self.leaving])
 
     # ---- running state ------------------------------------------------------------------
 
@@ -246,17 +287,38 @@ class Panel:
         """The value on the rows that this segment passes on to the next."""
         return F.when((F.col(ROW) > F.col(FROM) + back) & (F.col(ROW) <= F.col(UNTIL) + back), c)
 
-    def carry(self, summaries: Mapping[str, Column], combine: Callable[[Column], Column]) -> "Panel":
-        """Join, for each segment, `combine` of its predecessors' summaries.
+    def carry(self, summaries: Mapping[str, Column], combine: str) -> "Panel":
+        """Join, for each segment, its predecessors' summaries, combined by `max`, `sum` or `last` (the last non-null).
 
         `summaries` are aggregates over one segment. The carry table has one row per segment,
-        and the join key is the partitioning the panel already has.
+        and the join key is the partitioning the panel already has. In a resumed panel the values are there already.
         """
+        if self.resuming:
+            whole = Window.partitionBy(*self.group)
+            pair = {
+                "max": lambda old, new: F.greatest(old, new), "last": lambda old, new: F.coalesce(new, old),
+                "sum": lambda old, new: F.when(old.isNull(), new).when(new.isNull(), old).otherwise(old + new),
+            }[combine]
+            entering = {n: self.state_in(n) for n in summaries}
+            return self.with_state(entering, {n: pair(entering[n], e.over(whole)) if self.entering else e.over(whole) for n, e in summaries.items()})
         per_segment = self.frame.groupBy(*self.group).agg(*[e.alias(n) for n, e in summaries.items()])
         earlier = Window.partitionBy(self.key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-        table = per_segment.select(*self.group, *[combine(F.col(n)).over(earlier).alias(n) for n in summaries])
+        over = {"max": F.max, "sum": F.sum, "last": lambda x: F.last(x, ignorenulls=True)}[combine]
+        table = per_segment.select(*self.group, *[over(F.col(n)).over(earlier).alias(n) for n in summaries])
         return replace(self, frame=self.frame.join(table, self.group, "left"))
 
+    def state_in(self, name: str) -> Column:
+        """A running value of all rows before a resumed panel."""
+        if self.entering and name not in self.entering:
+            raise ValueError(f"the state was begun without {name}")
+        return F.col(f"_in_{name}") if self.entering else F.lit(None)
+
+    def with_state(self, entering: Mapping[str, Column], leaving: Mapping[str, Column]) -> "Panel":
+        """In a resumed panel, add running values as they enter it, and as they leave it (one value per key)."""
+        panel = self._add({**entering, **{f"_out_{n}": e for n, e in leaving.items()}})
+        return replace(panel, leaving=(*self.leaving, *leaving))
+
+
     def forward_fill(self, fill: Mapping[str, str]) -> "Panel":
         """new column -> last non-null value of a column up to the row."""
         if not fill:
@@ -269,7 +331,7 @@ class Panel:
                 f"_c_{n}": F.max_by(F.col(c), self.passed(F.when(F.col(c).isNotNull(), F.col(ROW)), looks[n][0]))
                 for n, c in fill.items()
             },
-            lambda x: F.last(x, ignorenulls=True),
+            "last",
         )
         filled = {
             n: F.coalesce(F.last(self.right(c, looks[n][0]), ignorenulls=True).over(carried.so_far), F.col(f"_c_{n}"))
@@ -285,7 +347,7 @@ class Panel:
             )
         looks = {n: self.looks([c]) for n, c in columns.items()}
         carried = self.carry(
-            {f"_c_{n}": F.sum(self.passed(F.col(c), looks[n][0])) for n, c in columns.items()}, lambda x: F.sum(x)
+            {f"_c_{n}": F.sum(self.passed(F.col(c), looks[n][0])) for n, c in columns.items()}, "sum"
         )
         sums = {}
         for n, c in columns.items():
