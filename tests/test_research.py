@@ -3,7 +3,7 @@
 import pytest
 
 from barloom.catalog import QUERIES
-from barloom.learning import research
+from barloom.learning import extra_trees, research
 from barloom.operators.features import RESEARCH_FEATURES
 
 
@@ -22,8 +22,8 @@ def asked(monkeypatch):
         calls.update(table=train[0], features=len(features), settings=len(research.draws(n, space=space)), folds=folds, space=space)
         return [None]
 
-    def experiment(train, test, ranked, counts=research.FEATURE_COUNTS, **params):
-        calls.update(table=train[0], counts=[len(ranked), *counts], params=params or research.EXPERIMENT)
+    def experiment(train, test, ranked, counts=research.FEATURE_COUNTS, setting=extra_trees.EXPERIMENT):
+        calls.update(table=train[0], counts=[len(ranked), *counts], setting=setting)
 
     monkeypatch.setattr(research, "random_search", search)
     monkeypatch.setattr(research, "feature_count_experiment", experiment)
@@ -35,7 +35,7 @@ def test_queries_ask_for_the_whole_job(asked):
     assert asked("parameter_search") == {"table": "research", "features": 65, "settings": 20, "folds": 5, "space": None}
     assert asked("parameter_tuning") | {"space": 0} == {"table": "research", "features": 65, "settings": 100, "folds": 5, "space": 0}
     got = asked("feature_count_experiment")
-    assert got["counts"] == [65, 40, 30, 23, 20, 15, 10] and got["params"]["numTrees"] == 500 and got["table"] == "research"
+    assert got["counts"] == [65, 40, 30, 23, 20, 15, 10] and (got["setting"].trees, got["setting"].max_depth, got["setting"].max_leaves) == (500, 6, 31) and got["table"] == "research"
     assert asked("model_comparison")["features"] == len(RESEARCH_FEATURES) == 65
 
 
