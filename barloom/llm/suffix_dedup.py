@@ -347,8 +347,8 @@ def without_repeats(
     """
     about = _removed_spans(docs, width, id_col, text_col, group)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text_key(text).alias("key"), text.alias("data"), F.col(text_col).cast("string").alias("text"), F.struct(F.lit(0), *keep).alias("kept"))
-    rows = rows.join(about, "key", "left")
+    rows = docs.select(F.col(id_col).alias("id"), text_key(text).alias("key"), F.col(text_col).cast("string").alias("text"), F.struct(F.lit(0), *keep).alias("kept"))
+    rows = rows.join(about, "key", "left").withColumn("data", F.coalesce("text", F.lit("")))
     gone, empty = F.coalesce("gone", F.lit(False)), F.lit(hashlib.sha256(b"").hexdigest())
     size = F.octet_length("data").cast("bigint")
     plain = rows.where("starts IS NULL").select(
