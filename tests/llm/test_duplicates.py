@@ -78,6 +78,16 @@ def test_components_equal_brute_force(spark, documents, monkeypatch, leaf):
         assert got == sorted(brute_components(rows), key=lambda r: tuple((x is not None, x) for x in r))
 
 
+def test_sets_without_an_id_are_members_and_bridges(spark, documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "GROUP_MEMBERS", 300)  # groups are cut by their members, too
+    base = [f"w{k}" for k in range(80)]
+    ends = [" ".join(["a", "b", "c"][: k % 4] + base[k // 4 :]) for k in range(0, 48, 4)]
+    rows = [(k if k in (0, 11) else None, t) for k, t in enumerate(ends)] + [(7, t) for t in near_copies(4, 1, 6)] + [(None, t) for t in near_copies(6, 1, 6)]
+    got = as_rows(jaccard_components(documents(rows), leaf=8, frequent=0.9))
+    assert got == sorted(brute_components(rows), key=lambda r: tuple((x is not None, x) for x in r))
+    assert [r[2] for r in got if r[0] == 11] == [0]  # linked through sets that have no id
+
+
 def test_components_of_documents(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").collect()]
     assert as_rows(jaccard_components(table(spark, sf, "documents"))) == sorted(brute_components(rows))

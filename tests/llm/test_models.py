@@ -246,3 +246,10 @@ def test_pipeline_takes_odd_rows(spark, documents, sf):
         for _, stage in corpus_pipeline.STAGES:
             frame = stage(spark, frame, sf)
         assert frame.count() >= 0
+
+
+def test_pipeline_tells_rows_of_one_id_apart(spark, documents, sf):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(words)), (5, " ".join(words[1:])), (5, "another text of id five"), (5, "another text of id five"), (-2, " ".join(words[:-1] + ["z"])), (None, "no id")]
+    kept = corpus_pipeline.near_duplicates(spark, documents(rows), sf)
+    assert sorted((r["doc_id"] is not None, r["doc_id"], r["text"]) for r in kept.collect()) == [(False, None, "no id"), (True, -2, rows[4][1]), (True, 5, rows[2][1])]
