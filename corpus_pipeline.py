@@ -29,12 +29,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    groups = jaccard_components(docs, n=5, percent=75)
-    first = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
-    if not first.where("rows > 1").isEmpty():  # rows that repeat an id
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    named = docs.where("doc_id IS NOT NULL")
+    key = F.col("doc_id")
+    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():  # rows that repeat an id: by id, then text
+        shifted = key.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+        key = F.concat(F.lpad(shifted.cast("decimal(20,0)").cast("string"), 20, "0"), F.coalesce(F.sha2("text", 256), F.lit("")))
+        named = named.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    groups = jaccard_components(docs.select(key.alias("_key"), "text"), n=5, percent=75, id_col="_key")
+    first = groups.where("component_id = _key").select("_key").distinct()
+    return named.withColumn("_key", key).join(first, "_key", "left_semi").unionByName(docs.where("doc_id IS NULL"), allowMissingColumns=True).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
