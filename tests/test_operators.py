@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +111,19 @@ def test_label_tail(spark):
     assert (train.count(), test.count()) == (4, 2)
 
 
+@pytest.mark.parametrize("gathered", [20_000, 3])
+def test_exact_quantiles(spark, monkeypatch, gathered):
+    monkeypatch.setattr(profile, "GATHERED", gathered)
+    rng = np.random.default_rng(5)
+    data = {"spread": rng.normal(size=900) * 10.0 ** rng.integers(-9, 200, 900), "ties": rng.integers(0, 3, 900) * 1.0, "one": np.full(900, 7.5)}
+    f = spark.createDataFrame(pd.DataFrame(data)).withColumn("none", F.lit(None).cast("double"))
+    got = profile.quantiles_by_counting(f, f.columns, (0, 0.25, 0.5, 0.993, 1), accuracy=50)
+    assert got.pop("none") == [None] * 5
+    for c, found in got.items():
+        np.testing.assert_allclose(found, np.quantile(data[c], (0, 0.25, 0.5, 0.993, 1)), rtol=1e-9)
+    assert profile.quantiles_by_counting(f.limit(0), ["one"], (0.5,)) == {"one": [None]}
+
+
 def test_profiles(spark):
     f = spark.createDataFrame([(1.0, "x"), (2.0, "x"), (10.0, "y"), (None, None)], "v double, k string")
     assert one(profile.skew_table(f, ["v"]))["Skew_Value"] == round(pd.Series([1.0, 2.0, 10.0]).skew(), 1)
