@@ -9,13 +9,14 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.catalog import features as _features  # noqa: F401  (its statements are used below)
 from barloom.catalog.registry import ORACLES, over, query, rounded
 from barloom.catalog.tables import stored
-from barloom.learning import evaluation, extra_trees, model, research
+from barloom.learning import balance, evaluation, extra_trees, model, research
 from barloom.operators import label
 from barloom.operators.features import RESEARCH_FEATURES, SERVING_FEATURES, feature_frame, features, panel_of_bars
 from barloom.operators.profile import repeatable_sample
@@ -69,11 +70,32 @@ def score_latest_rows(spark, sf):
 
 @query("M-08")
 def model_comparison(spark, sf):
-    """Five classifiers on all candidate features."""
+    """Five classifiers on all candidate features, the smaller class of the training rows filled up with new rows."""
     train, test = periods(spark, sf, "research")
     return research.compare_models(train, test, RESEARCH_FEATURES)
 
 
+@query("M-08", f"""
+SELECT CAST(c AS INTEGER) AS target, GREATEST(ones, n - ones)::BIGINT AS n_rows, (GREATEST(ones, n - ones) - IF(c = 1, ones, n - ones))::BIGINT AS n_new,
+  0::BIGINT AS off_segment, 0::BIGINT AS unknown_ends
+FROM (VALUES (0), (1)) v(c), (SELECT COUNT(*) AS n, SUM(target) AS ones FROM ({ORACLES['training_rows']}))""")
+def balanced_training_rows(spark, sf):
+    """Per class its rows after balancing, new rows, new rows off the line between their two ends, and ends that are no row of the class."""
+    rows = stored(spark, sf, "training")
+    scaled = research.scaled(rows, SERVING_FEATURES).transform(rows).select(vector_to_array(model.VECTOR).alias("values"), "target")
+    made = balance.new_rows(scaled, "values")
+    # from the origin to the new row and on to the other end is no longer than straight on
+    apart = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    detour = apart("_origin", "values") + apart("values", "_other") - apart("_origin", "_other")
+    real = scaled.select("target", F.transform("values", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)).alias("end")).distinct()
+    for c in ("_origin", "_other"):
+        made = made.join(real.withColumnRenamed("end", c).withColumn(f"known{c}", F.lit(1)), ["target", c], "left")
+    unknown = F.count_if(F.col("known_origin").isNull()) + F.count_if(F.col("known_other").isNull())
+    new = made.groupBy("target").agg(F.count(F.lit(1)).alias("n_new"), F.count_if(~(F.abs(detour) <= 1e-9)).alias("off_segment"), unknown.alias("unknown_ends"))
+    both = scaled.groupBy("target").agg(F.count(F.lit(1)).alias("n")).join(new, "target", "left").na.fill(0)
+    return both.select("target", (F.col("n") + F.col("n_new")).alias("n_rows"), "n_new", "off_segment", "unknown_ends")
+
+
 @query("M-09 A-17 M-14 O-04")
 def feature_contributions(spark, sf):
     """Mean absolute contribution on the row sample, beside the split importance."""
