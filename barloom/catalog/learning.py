@@ -111,14 +111,14 @@ def feature_contributions(spark, sf):
 def parameter_search(spark, sf):
     """Twenty random settings of the search space, cross-validated on precision in five folds."""
     train, _ = periods(spark, sf, "research")
-    return research.random_search(model.narrowed(train, RESEARCH_FEATURES), RESEARCH_FEATURES)[0]
+    return research.random_search(model.narrowed(train, RESEARCH_FEATURES), RESEARCH_FEATURES)
 
 
 @query("M-11")
 def parameter_tuning(spark, sf):
     """A hundred random settings of the larger space, cross-validated on precision in five folds."""
     train, _ = periods(spark, sf, "research")
-    return research.random_search(train, RESEARCH_FEATURES, n=research.TUNING_DRAWS, space=research.TUNING_SPACE)[0]
+    return research.random_search(train, RESEARCH_FEATURES, n=research.TUNING_DRAWS, space=research.TUNING_SPACE)
 
 
 def _ranked(train: DataFrame) -> DataFrame:
