@@ -124,6 +124,19 @@ def test_exact_quantiles(spark, monkeypatch, gathered):
     assert profile.quantiles_by_counting(f.limit(0), ["one"], (0.5,)) == {"one": [None]}
 
 
+def test_exact_profile_copies_no_rows_and_sketches_a_column_once(spark, monkeypatch):
+    f = spark.createDataFrame([(float(k % 40), k % 3 or None, -0.0 if k % 2 else 0.0) for k in range(200)], "a double, b int, c double")
+    made, real = [], F.percentile_approx
+    monkeypatch.setattr(profile.F, "percentile_approx", lambda *x: (made.append(x), real(*x))[1])
+    monkeypatch.setattr(profile, "GATHERED", 190)
+    out = profile.column_profile(f, exact_distinct=True, exact_quantiles=True)
+    assert len(made) <= 3  # one for each column, not for each rank
+    assert "gid" not in out._jdf.queryExecution().optimizedPlan().toString()  # no copy of every row for each column
+    rows = {r["column"]: r for r in out.collect()}
+    assert [(rows[c]["distinct"], rows[c]["missing"]) for c in "abc"] == [(40, 0), (2, 67), (1, 0)]
+    assert [rows["a"][q] for q in ("q25", "median", "q75")] == list(np.quantile([k % 40 for k in range(200)], (0.25, 0.5, 0.75)))
+
+
 def test_profiles(spark):
     f = spark.createDataFrame([(1.0, "x"), (2.0, "x"), (10.0, "y"), (None, None)], "v double, k string")
     assert one(profile.skew_table(f, ["v"]))["Skew_Value"] == round(pd.Series([1.0, 2.0, 10.0]).skew(), 1)
