@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom.catalog import tables
 from barloom.operators.frames import Frames
 from barloom.operators.panel import Panel
+from barloom.session import SPLIT_BYTES, small_splits
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +48,21 @@ def test_training_tables_are_written_as_their_windows_leave_them(spark, sf, monk
     hinted.clear()
     assert tables.stored(spark, sf, "training").count() > 0
     assert ("rebalance", "Ticker") not in hinted
+
+
+def test_bars_are_stored_after_one_shuffle_from_small_splits(spark, sf, monkeypatch):
+    seen, name = [], "spark.sql.files.maxPartitionBytes"
+    kind = type(spark.range(1))
+    hint = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *p: (seen.append((name, *p)), hint(self, name, *p))[1])
+    monkeypatch.setattr(tables, "_STORED", {k: v for k, v in tables._STORED.items() if k[2] != "bars"})
+    before = spark.conf.get(name)
+    assert tables.stored(spark, sf, "bars").count() == tables.tables.bars(spark, sf).count() and seen == []
+    assert spark.conf.get(name) == before
+    with small_splits(spark):
+        assert int(spark.conf.get(name)) == SPLIT_BYTES
+        with small_splits(spark, 100):
+            assert int(spark.conf.get(name)) == 100
+        with small_splits(spark, 2 * SPLIT_BYTES):
+            assert int(spark.conf.get(name)) == SPLIT_BYTES  # a smaller setting stays
+    assert spark.conf.get(name) == before
