@@ -256,3 +256,12 @@ def test_null_keys_replay_and_unreadable_tables(spark, tmp_path):
     with pytest.raises(Exception):
         sinks.replace_keys(batch, str(broken))
     assert not sinks.table_exists(spark, str(tmp_path / "nothing"))
+
+
+def test_first_batch_of_keys_is_written_once(spark, tmp_path, monkeypatch):
+    path, made, real = str(tmp_path / "bars"), [], sinks.shared_dir
+    monkeypatch.setattr(sinks, "shared_dir", lambda *x: (made.append(x[1]), real(*x))[1])
+    batch = bars_of(spark, {"a": [100, 101], "b": [7]})
+    assert sinks.replace_keys(batch.unionByName(batch), path) and made == []
+    assert sinks.replace_keys(batch.filter("Ticker = 'b'").withColumn("Close", F.lit(9.0)), path) and made == ["landed", "staging"]
+    assert sorted((r["Ticker"], r["Close"]) for r in spark.read.parquet(path).collect()) == [("a", 100), ("a", 101), ("b", 9)]
