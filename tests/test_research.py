@@ -67,3 +67,21 @@ def test_search_equals_forests_grown_one_by_one(spark):
 
 def test_boosting_runs_all_rounds(spark):
     assert research.candidates()["gradient_boosting"].getMaxIter() == 100
+
+
+def test_contribution_sample_is_chosen_once(spark):
+    from barloom.learning import model
+
+    pick = random.Random(3)
+    rows = [(f"S{k}", k, pick.random(), pick.random(), k % 2) for k in range(60)]
+    frame = spark.createDataFrame(rows, "Ticker string, Date int, a double, b double, target int").repartition(3)
+    fitted, read = model.fit(frame, ["a", "b"], model.forest(numTrees=3, maxDepth=2)), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    out = research.mean_contribution(fitted, frame.mapInArrow(counted, frame.schema), ["a", "b"], n=20).collect()
+    assert sorted(r["feature"] for r in out) == ["a", "b"]
+    assert read.value == len(rows)
