@@ -66,3 +66,26 @@ def test_bars_are_stored_after_one_shuffle_from_small_splits(spark, sf, monkeypa
         with small_splits(spark, 2 * SPLIT_BYTES):
             assert int(spark.conf.get(name)) == SPLIT_BYTES  # a smaller setting stays
     assert spark.conf.get(name) == before
+
+
+def test_long_covariances(spark):
+    pick, first = random.Random(5), dt.date(2020, 1, 1)
+    rows = []
+    for k in "ABC":
+        for d in range(200):
+            b = pick.gauss(3, 0.02)
+            rows.append((k, first + dt.timedelta(days=d), 1e4 + 2 * b + pick.gauss(0, 0.01), 0.1 if k == "C" else None if k == "B" and d == 90 else b))
+    series = spark.createDataFrame(rows, "Ticker string, Date date, a double, b double").repartition(3)
+    frame = Window.partitionBy("Ticker").orderBy("Date").rowsBetween(-59, 0)
+    whole = F.count("b").over(frame) == 60
+    expected = series.select("Ticker", "Date", F.when(whole, F.covar_samp("a", "b").over(frame)).alias("want_c"), F.when(whole, F.var_samp("b").over(frame)).alias("want_v"))
+    for panel in (Panel.of(series), Panel.of(series.withColumn("Date", F.col("Date").cast("timestamp")), halo=60, rows_per_segment=70)):
+        w = Frames(panel)
+        out = w.apply({"c": w.cov("a", "b", 60), "v": w.rolling("var_samp", "b", 60)}).result().withColumn("Date", F.to_date("Date"))
+        assert "-59" not in out._jdf.queryExecution().analyzed().toString()  # no frame of 60 rows
+        both = out.join(expected, ["Ticker", "Date"]).collect()
+        assert len(both) == 600 and sum(r["v"] is not None for r in both) == 141 + 31 + 50 + 141
+        for r in both:
+            for c, want in ((r["c"], r["want_c"]), (r["v"], r["want_v"])):
+                assert (c is None) == (want is None) and (c is None or c == pytest.approx(want, rel=1e-7, abs=1e-13))
+            assert r["Ticker"] != "C" or r["v"] in (None, 0.0) and r["c"] in (None, 0.0)  # of equal values exactly none
