@@ -12,7 +12,7 @@ import pytest
 from barloom.llm import jaccard_join, suffix_dedup
 from barloom.llm.components import connected_components
 from barloom.llm.frames import table
-from barloom.llm.jaccard_join import jaccard_components
+from barloom.llm.jaccard_join import _first_regions, jaccard_components
 from barloom.llm.suffix_dedup import maximal_repeats, without_repeats
 from barloom.llm.words import word_hashes
 
@@ -192,3 +192,25 @@ def test_documents_and_slices(spark, sf, monkeypatch):
     monkeypatch.setattr(suffixes, "SLICE", 701)
     assert all((a == b).all() for a, b in zip(whole, suffixes.anchors(data, offsets, 400), strict=True))
     assert suffix_dedup.GROUP > 0
+
+
+def test_first_regions_only_hold_places_that_linked_sets_can_share(spark):
+    # of 100 n-grams the first 15 are early, of 80 the first 12
+    rows = [(1, 100, 20, 1), (2, 100, 20, 1), (3, 100, 14, 2), (4, 100, 14, 2), (5, 80, 11, 3), (6, 100, 20, 3), (7, 80, 15, 4), (8, 100, 3, 4), (9, 70, 0, 5), (10, 100, 0, 5)]
+    found = _first_regions(spark.createDataFrame(rows, "node bigint, n bigint, at int, region bigint"), 75).collect()
+    assert sorted((r["region"], r["node"], r["n"]) for r in found) == [(2, 3, 100), (2, 4, 100), (3, 5, 80), (3, 6, 100)]
+
+
+def test_first_regions_hold_every_linked_pair(spark):
+    pick, sets = random.Random(11), {}
+    for group in range(30):
+        base = pick.sample(range(10_000), pick.randint(1, 60))
+        for _ in range(4):
+            kept = [x for x in base if pick.random() > 0.08]
+            sets[len(sets)] = sorted({*kept, *pick.sample(range(10_000), pick.randint(0, 4))})
+    rows = [(k, len(x), at, gram) for k, x in sets.items() if x for at, gram in enumerate(x[: len(x) - -(-75 * len(x) // 100) + 1])]
+    regions = {}
+    for r in _first_regions(spark.createDataFrame(rows, "node bigint, n bigint, at int, region bigint"), 75).collect():
+        regions.setdefault(r["region"], set()).add(r["node"])
+    linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})]
+    assert len(linked) > 40 and all(any({a, b} <= x for x in regions.values()) for a, b in linked)
