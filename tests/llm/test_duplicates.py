@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -14,6 +15,7 @@ from barloom.llm.components import connected_components
 from barloom.llm.frames import table
 from barloom.llm.jaccard_join import _first_regions, jaccard_components
 from barloom.llm.suffix_dedup import maximal_repeats, without_repeats
+from barloom.llm.suffixes import anchors
 from barloom.llm.words import word_hashes
 
 
@@ -214,3 +216,12 @@ def test_first_regions_hold_every_linked_pair(spark):
         regions.setdefault(r["region"], set()).add(r["node"])
     linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})]
     assert len(linked) > 40 and all(any({a, b} <= x for x in regions.values()) for a, b in linked)
+
+
+def test_anchors_take_bounded_memory():
+    data = np.random.default_rng(1).integers(97, 123, 3 << 20, dtype=np.uint8)
+    tracemalloc.start()
+    anchors(data, np.arange(0, len(data) + 1, 4096), 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
